@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, quality, quotient_dedup, token_counts, token_files, tokens, url_filter
+from . import decontaminate, html_text, packing, quality, quotient_dedup, token_counts, token_files, tokens, url_filter
 
 #: Hosts whose pages make up the list of blocked URLs of op1.
 JUNK_HOSTS = r"(^|\.)(spam-farm|cheap-pills)\."
@@ -27,6 +27,14 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokens.default_path())
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.through_files(table(spark, sf_dir, "documents"), tokens.default_path())
 
@@ -43,7 +51,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality, op5_token_files, op7_exact_dedup, op9_token_counts, op10_html_text)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality, op3_packing, op4_decontamination, op5_token_files, op7_exact_dedup, op9_token_counts, op10_html_text)}
 
 _FITS = "(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
 
