@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, packing, quality, quotient_dedup, token_counts, token_files, tokens, url_filter
+from . import decontaminate, html_text, jaccard_join, packing, ppm, quality, quotient_dedup, token_counts, token_files, tokens, url_filter
 
 #: Hosts whose pages make up the list of blocked URLs of op1.
 JUNK_HOSTS = r"(^|\.)(spam-farm|cheap-pills)\."
@@ -39,10 +39,18 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.through_files(table(spark, sf_dir, "documents"), tokens.default_path())
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotient_dedup.find_copies(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokens.default_path())
 
@@ -51,7 +59,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality, op3_packing, op4_decontamination, op5_token_files, op7_exact_dedup, op9_token_counts, op10_html_text)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_url_filter, op2_quality, op3_packing, op4_decontamination, op5_token_files, op6_lm_score, op7_exact_dedup, op8_jaccard_join, op9_token_counts, op10_html_text)
+}
 
 _FITS = "(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
 
