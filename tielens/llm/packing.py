@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import keyed_filter, landed
+from .common import as_bytes, keyed_filter, landed
 from .tokens import encoder, slices
 
 SIZE = 2048
@@ -238,7 +238,7 @@ def digests(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str,
 
         task, ranks, chunks = TaskContext.get().partitionId(), np.zeros(size, np.int64), 0
         for b in batches:
-            texts = ["" if t is None else t for t in b.column(1).to_pylist()]
+            texts = as_bytes(b.column(1))
             for i, j in slices(list(map(len, texts))):
                 ids, counts = encoder(path).encode(texts[i:j])
                 ids = np.insert(ids.astype("<u4"), np.cumsum(counts), end_id)
@@ -307,7 +307,7 @@ def pack(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc_id
 
     def again(batches):
         for b in batches:
-            rows, text = b.to_pylist(), b.column("text").to_pylist()
+            rows, text = b.drop_columns(["text"]).to_pylist(), as_bytes(b.column("text"))
             out = []
             for i, j in slices(list(map(len, text))):
                 ids, counts = encoder(path).encode(text[i:j])

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import fresh_path
+from .common import as_bytes, fresh_path
 from .tokens import encoder, slices
 
 END_ID = 0
@@ -35,7 +35,7 @@ def encoded(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc
 
         part, before = TaskContext.get().partitionId(), 0
         for b in batches:
-            texts = ["" if t is None else t for t in b.column(1).to_pylist()]
+            texts = as_bytes(b.column(1))
             for i, j in slices(list(map(len, texts))):
                 ids, counts = encoder(path).encode(texts[i:j])
                 ends = np.cumsum(counts)

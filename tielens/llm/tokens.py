@@ -1,19 +1,27 @@
 """Whole texts to token ids with the ``tokenizers`` library, fast: each distinct space-separated piece is encoded once.
 
 The byte-level pre-tokeniser never joins what stands before a lone space with what follows it, so a text without two
-white-space characters in a row is the concatenation of its pieces, each with its leading space. Pieces that a task
-has seen come from a table; new ones are encoded together. Any other text goes to the library whole.
+white-space characters in a row is the concatenation of its pieces, each with its leading space. Pieces are told apart
+by two independent 64-bit hashes, taken over whole buffers; those that a worker has seen come from a table, new ones
+are encoded together. Any other text goes to the library whole.
 """
 
 from __future__ import annotations
 
 import re
-from itertools import chain
 
 import numpy as np
 
-#: Pieces that a task's table holds before it starts anew (bounds memory, changes no result).
-MOST_PIECES = 800_000
+from .common import _power, mix
+
+#: Pieces that a worker's table holds before it starts anew (bounds memory, changes no result).
+MOST_PIECES = 2_000_000
+_rng = np.random.default_rng(77)
+_FIRST, _SECOND = (_rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1) for _ in range(2))
+_WHITE = np.zeros(256, bool)
+_WHITE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
+#: First bytes of white space beyond ASCII.
+_WIDE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
 
 def default_path() -> str:
@@ -22,6 +30,12 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def spread(first: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Indexes of ranges laid end to end: first[0], first[0] + 1, ..., first[1], ..."""
+    ends = np.cumsum(lens)
+    return np.repeat(first - (ends - lens), lens) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
 class Encoder:
     def __init__(self, path: str):
         import os
@@ -34,68 +48,126 @@ class Encoder:
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
         for token, i in vocabulary.items():
             self.opens[i] = token.startswith("Ġ")
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = re.compile("|".join([r"\s\s", r"^\s", r"\s$", *added]))
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._clear()
 
-    def _clear(self):
-        self.number: dict[str, int] = {}
-        self.flat = [np.empty(0, np.uint32)]
-        self.sizes: list[np.ndarray] = [np.empty(0, np.int64)]
+    def _clear(self) -> None:
+        """The table: rows in order of arrival (second hash, where a piece's ids stand), found by two sorted key lists."""
+        self.rows = 0
+        self.check, self.begin, self.size = (np.empty(MOST_PIECES, t) for t in (np.uint64, np.int64, np.int32))
+        self.main = self.recent = (np.empty(0, np.uint64), np.empty(0, np.int32))
+        self.flat = np.empty(0, np.uint32)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Each piece encoded once, with its leading space; a run of them is encoded as one text and split again."""
-        runs = [" " + " ".join(pieces[i : i + 4000]) for i in range(0, len(pieces), 4000)]
-        ids = np.concatenate(self._whole(runs))
-        starts = np.flatnonzero(self.opens[ids])
-        if len(starts) != len(pieces):
-            raise AssertionError("pieces and their tokens don't agree")
-        at = len(self.number)
-        self.number.update(zip(pieces, range(at, at + len(pieces)), strict=True))
-        self.flat.append(ids)
-        self.sizes.append(np.diff(np.append(starts, len(ids))))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of all texts, in order, and the number of ids of each text."""
-        if len(self.number) > MOST_PIECES:
-            self._clear()
-        odd = self.odd.search
-        plain = [bool(t) and not odd(t) for t in texts]
-        rest = [t.split(" ") if p else [] for t, p in zip(texts, plain, strict=True)]
-        heads = [s.pop(0) for s in rest if s]  # the first piece of a text has no space before it
-        known = self.number
-        new = list(set().union(*rest).difference(known))
-        if new:
-            self._learn(new)
-            self.flat, self.sizes = [np.concatenate(self.flat)], [np.concatenate(self.sizes)]
-        flat, sizes = self.flat[0], self.sizes[0]
-        begin = np.cumsum(sizes) - sizes
-        get = known.__getitem__
-        n_pieces = np.fromiter(map(len, rest), np.int64, len(rest))
-        pick = np.fromiter(map(get, chain.from_iterable(rest)), np.int64, int(n_pieces.sum()))
-        first = iter(self._whole(heads))
-        whole = iter(self._whole([t for t, p in zip(texts, plain, strict=True) if not p]))
-        lead = [next(first) if p else next(whole) for p in plain]
+    def _odd(self, texts: list[bytes], buf: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Texts that aren't the concatenation of their pieces' encodings: for the library whole."""
+        white = _WHITE[buf]
+        twice = np.flatnonzero(white[1:] & white[:-1])  # texts stand between single spaces, so also at their borders
+        odd = np.zeros(len(texts), bool)
+        odd[np.clip(np.searchsorted(begins, twice, "right") - 1, 0, None)] = True
+        odd[np.minimum(np.searchsorted(begins, twice + 1, "right") - 1, len(texts) - 1)] = True
+        joined = buf.tobytes()
+        for m in _WIDE.finditer(joined):
+            odd[np.searchsorted(begins, m.start(), "right") - 1] = True
+        for word in self.added:
+            at = joined.find(word)
+            while at >= 0:
+                odd[np.searchsorted(begins, at, "right") - 1] = True
+                at = joined.find(word, at + 1)
+        return odd
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of all UTF-8 texts, in order, and the number of ids of each text."""
+        if not texts:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        buf = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        begins = np.cumsum(sizes + 1) - sizes - 1
+        odd = self._odd(texts, buf, begins) | (sizes == 0)
+        # pieces: each ends before a space; the first of a text has no space before it
+        stops = np.flatnonzero(buf == 32)
+        starts = np.concatenate(([0], stops[:-1] + 1))
+        of = np.searchsorted(begins, starts, "right") - 1
+        head = starts == begins[of]
+        lead: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
+        ends_of_head = stops[head & ~odd[of]]
+        plain = np.flatnonzero(~odd)
+        for group, found in ((plain, [buf[begins[i] : e].tobytes().decode() for i, e in zip(plain, ends_of_head, strict=True)]), (np.flatnonzero(odd), [texts[i].decode() for i in np.flatnonzero(odd)])):
+            for i, ids in zip(group, self._whole(found), strict=True):
+                lead[i] = ids
+        rest = ~head & ~odd[of]
+        starts, stops, of = starts[rest], stops[rest], of[rest]
+        pick = self._pick(buf, starts, stops)
+        lens = self.size[pick]
         lead_n = np.fromiter(map(len, lead), np.int64, len(lead))
-        # a text's ids: the lead's, then its pieces'
-        lens = sizes[pick]
-        of_text = np.repeat(np.arange(len(texts)), n_pieces)
-        body_n = np.bincount(of_text, lens, len(texts)).astype(np.int64)
+        body_n = np.bincount(of, lens, len(texts)).astype(np.int64)
         counts = lead_n + body_n
         out = np.empty(int(counts.sum()), np.uint32)
         base = np.cumsum(counts) - counts
-        lead_at = np.repeat(base - (np.cumsum(lead_n) - lead_n), lead_n) + np.arange(int(lead_n.sum()))
-        out[lead_at] = np.concatenate([np.empty(0, np.uint32), *lead])
-        ends = np.cumsum(lens)
-        step = np.arange(int(ends[-1]) if len(ends) else 0)
-        source = np.repeat(begin[pick] - (ends - lens), lens) + step
-        shift = base + lead_n - (np.cumsum(body_n) - body_n)
-        out[np.repeat(shift, body_n) + step] = flat[source]
+        out[spread(base, lead_n)] = np.concatenate(lead)
+        out[spread(base + lead_n, body_n)] = self.flat[spread(self.begin[pick], lens)]
         return out, counts
 
+    def _pick(self, buf: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Rows of the table for the pieces, which come into it first."""
+        if not len(starts):
+            return np.empty(0, np.int64)
+        up, down = _power(len(buf))
+        hashes = []
+        for table in (_FIRST, _SECOND):
+            total = np.cumsum(table[buf] * up)
+            hashes.append(mix((total[stops - 1] - total[starts - 1]) * down[starts] ^ (stops - starts).astype(np.uint64)))
+        key, check = hashes
+        own, first, which = np.unique(key, return_index=True, return_inverse=True)
+        if (check[first][which] != check).any():
+            raise AssertionError("two pieces with one hash")
+        if self.rows + len(own) > MOST_PIECES:
+            self._clear()
+        row = np.full(len(own), -1, np.int64)
+        for keys, rows in (self.main, self.recent):
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                there = keys[at] == own
+                row[there] = rows[at[there]]
+        there = row >= 0
+        if (self.check[row[there]] != check[first[there]]).any():
+            raise AssertionError("two pieces with one hash")
+        new = np.flatnonzero(~there)
+        if len(new):
+            # like pieces follow each other: the library is faster on them
+            front = np.zeros(len(new), np.uint64)
+            for j in range(8):
+                c = np.minimum(starts[first[new]] + j, stops[first[new]])
+                front = (front << np.uint64(8)) | buf[c]
+            new = new[np.argsort(front, kind="stable")]
+            if len(new) > MOST_PIECES:
+                raise AssertionError("a buffer with more pieces than the table")
+            a, b = starts[first[new]] - 1, stops[first[new]]  # with the space before
+            runs = [buf[spread(a[i : i + 1000], (b - a)[i : i + 1000])].tobytes().decode() for i in range(0, len(new), 1000)]
+            ids = np.concatenate(self._whole(runs))
+            opens = np.flatnonzero(self.opens[ids])
+            if len(opens) != len(new):
+                raise AssertionError("pieces and their tokens don't agree")
+            span = slice(self.rows, self.rows + len(new))
+            self.begin[span] = len(self.flat) + opens
+            self.size[span] = np.diff(np.append(opens, len(ids)))
+            self.check[span] = check[first[new]]
+            row[new] = np.arange(self.rows, self.rows + len(new))
+            self.rows += len(new)
+            self.flat = np.concatenate((self.flat, ids))
+            self.recent = _merged(self.recent, (own[new], row[new].astype(np.int32)))
+            if len(self.recent[0]) > 200_000:
+                self.main, self.recent = _merged(self.main, self.recent), (self.recent[0][:0], self.recent[1][:0])
+        return row[which]
+
+
+def _merged(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    key, row = np.concatenate((one[0], two[0])), np.concatenate((one[1], two[1]))
+    order = np.argsort(key, kind="stable")
+    return key[order], row[order]
+
 
 _encoders: dict[str, Encoder] = {}
 
