@@ -124,6 +124,22 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return mix(h ^ (ends - starts).astype(np.uint64)), counts
 
 
+def runs(column, most: int = 1 << 20):
+    """Of an Arrow string column: (first, last, texts as UTF-8) for runs of whole texts of about ``most`` bytes."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    column = column.cast(pa.binary())
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    first = size = 0
+    for i, n in enumerate([*sizes, most]):
+        if i > first and (size + n > most or i == len(sizes)):
+            yield first, i, as_bytes(column.slice(first, i - first))
+            first = i
+            size = 0
+        size += n + 1
+
+
 def as_bytes(column) -> list[bytes]:
     """An Arrow string column as UTF-8 bytes; null is empty."""
     import pyarrow as pa

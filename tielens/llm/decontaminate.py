@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes
+from .common import runs
 
 Q, RATE, LEAST = 8, 0.08, 40
 #: Bytes of items that one pass holds; a larger benchmark is searched for in several passes.
@@ -168,11 +168,8 @@ def _passes(benchmark: DataFrame, id_col: str, text_col: str):
 
 
 def _batches(column):
-    from .common import pieces
-
-    texts = [normal(t) for t in as_bytes(column)]
-    for a, b in pieces(texts):
-        yield a, texts[a:b]
+    for a, _, texts in runs(column):
+        yield a, [normal(t) for t in texts]
 
 
 FOUND = "doc_id long, item_id long, edits long, text_end long, shared_grams long, item_bytes long"

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import as_bytes, keyed_filter, landed
-from .tokens import encoder, slices
+from .common import keyed_filter, landed, runs
+from .tokens import encoder
 
 SIZE = 2048
 END_ID = 1
@@ -238,9 +238,8 @@ def digests(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str,
 
         task, ranks, chunks = TaskContext.get().partitionId(), np.zeros(size, np.int64), 0
         for b in batches:
-            texts = as_bytes(b.column(1))
-            for i, j in slices(list(map(len, texts))):
-                ids, counts = encoder(path).encode(texts[i:j])
+            for i, j, texts in runs(b.column(1)):
+                ids, counts = encoder(path).encode(texts)
                 ids = np.insert(ids.astype("<u4"), np.cumsum(counts), end_id)
                 counts = counts + 1
                 data, at, rows = memoryview(ids).cast("B"), 0, []
@@ -307,10 +306,9 @@ def pack(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc_id
 
     def again(batches):
         for b in batches:
-            rows, text = b.drop_columns(["text"]).to_pylist(), as_bytes(b.column("text"))
-            out = []
-            for i, j in slices(list(map(len, text))):
-                ids, counts = encoder(path).encode(text[i:j])
+            rows, out = b.drop_columns(["text"]).to_pylist(), []
+            for i, j, texts in runs(b.column("text")):
+                ids, counts = encoder(path).encode(texts)
                 ends = np.cumsum(counts)
                 for k in range(i, j):
                     own = np.append(ids[ends[k - i] - counts[k - i] : ends[k - i]].astype("<u4"), np.uint32(end_id))

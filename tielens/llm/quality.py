@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes
+from .common import runs
 
 MOST_LABELLED = 20_000
 THRESHOLD = 0.7
@@ -128,7 +128,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def run(batches):
         for b in batches:
-            made = np.array([statistics(t) for t in as_bytes(b.column(1))], np.float32).reshape(-1, len(NAMES))
+            made = np.array([statistics(t) for _, _, texts in runs(b.column(1)) for t in texts], np.float32).reshape(-1, len(NAMES))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in made], pa.binary())], ["label", "x"])
 
     got = texts.mapInArrow(run, "label double, x binary").toArrow()
@@ -138,8 +138,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(x[order], y[order])
 
 
-def _scores(texts, model: Trees) -> np.ndarray:
-    x = np.array([statistics(t) for t in texts], np.float32).reshape(-1, len(NAMES))
+def _scores(column, model: Trees) -> np.ndarray:
+    x = np.array([statistics(t) for _, _, texts in runs(column) for t in texts], np.float32).reshape(-1, len(NAMES))
     return model.score(x.astype(np.float64))
 
 
@@ -149,7 +149,7 @@ def score(docs: DataFrame, model: Trees, id_col: str = "doc_id", text_col: str =
 
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(_scores(as_bytes(b.column(2)), model))], ["id", "held_out", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(_scores(b.column(2), model))], ["id", "held_out", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     out = rows.mapInArrow(run, f"id {kind}, held_out boolean, score double").withColumnRenamed("id", id_col)
@@ -162,6 +162,6 @@ def keep_good(docs: DataFrame, model: Trees, text_col: str = "text", threshold:
 
     def run(batches):
         for b in batches:
-            yield b.filter(pa.array(_scores(as_bytes(b.column(at)), model) >= threshold))
+            yield b.filter(pa.array(_scores(b.column(at), model) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

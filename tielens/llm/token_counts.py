@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes
+from .common import runs
 
 #: Terminals that a task keeps before it starts anew (bounds memory, changes no result).
 MOST_TERMINALS = 600_000
@@ -108,7 +108,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         if path not in _counters:
             _counters[path] = Counter(vocabulary(path))
         for b in batches:
-            got = _counters[path].totals(as_bytes(b.column(1)))
+            got = [t for _, _, texts in runs(b.column(1)) for t in _counters[path].totals(texts)]
             columns = list(zip(*got, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], ["id", "n_pretokens", "n_tokens", "score"])
 

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import as_bytes, fresh_path
-from .tokens import encoder, slices
+from .common import fresh_path, runs
+from .tokens import encoder
 
 END_ID = 0
 STRIPE_BYTES = 64 << 20
@@ -35,9 +35,8 @@ def encoded(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc
 
         part, before = TaskContext.get().partitionId(), 0
         for b in batches:
-            texts = as_bytes(b.column(1))
-            for i, j in slices(list(map(len, texts))):
-                ids, counts = encoder(path).encode(texts[i:j])
+            for i, j, texts in runs(b.column(1)):
+                ids, counts = encoder(path).encode(texts)
                 ends = np.cumsum(counts)
                 ids = np.insert(ids.astype(np.int32), ends, end_id)
                 counts = counts + 1
