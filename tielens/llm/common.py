@@ -90,18 +90,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def pieces(texts: list[bytes], most: int = 1 << 21):
-    """Runs of whole texts of about ``most`` bytes: (first, last) indexes. A longer text stands alone."""
-    first = size = 0
-    for i, t in enumerate(texts):
-        if i > first and size + len(t) > most:
-            yield first, i
-            first, size = i, 0
-        size += len(t) + 1
-    if first < len(texts):
-        yield first, len(texts)
-
-
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the A-Z-lowered words of all texts, in order, and the number of words of each text.
 

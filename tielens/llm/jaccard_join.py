@@ -8,9 +8,9 @@ of them is done. For the others, each rare token of the prefix is a signature. F
 the prefix by one token and are indexed as combinations of two; for larger sets (where combinations would be too many)
 as single tokens, and sets near the border take part in both, so that no link is lost.
 
-Classes with a signature in common are compared without emitting all pairs of a group: rounds compare members with a
-leader of their group and merge what is linked; only what stays in different components is then compared pairwise. A
-comparison intersects whole sets of 64-bit shingle hashes. Frequencies come from sorted postings of tasks; a token that
+Classes that signatures tie together are a cluster; its sets meet in blocks of bounded size and are compared there whole
+(intersections of 64-bit shingle hashes), so no pairs are emitted but the links found. Blocks of a cluster are compared
+with each other only while the cluster isn't one component. Frequencies come from sorted postings of tasks; a token that
 a task sees in many classes is declared frequent there, so no task gathers all postings of a hot token.
 
 Defined results: null and empty texts, and texts without words, have no set, link with nothing and are their own
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, grouped_join, keyed_filter, landed, mix, pieces, word_hashes
+from .common import grouped_join, keyed_filter, landed, mix, runs, word_hashes
 
 WORDS, NUM, DEN = 5, 75, 100
 #: Document frequency up to which a token is rare; sets up to PAIR_SIZE index frequent tokens in pairs.
@@ -36,7 +36,8 @@ RARE, PAIR_SIZE = 64, 48
 #: Classes of a task from which it declares a token frequent.
 LOCALLY_FREQUENT = 256
 FREQUENT, BEHIND = 65535, 65536
-ROUNDS = 5
+#: Sets that are compared with each other in one go.
+BLOCK = 256
 _TIMES = np.random.default_rng(5).integers(1, 2**63, WORDS + 1, dtype=np.uint64) | np.uint64(1)
 _HALF = np.uint64(1 << 63)
 _CUT = np.uint64(16)
@@ -45,22 +46,27 @@ _CUT = np.uint64(16)
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     out: list[np.ndarray] = []
-    for a, b in pieces(texts):
-        h, counts = word_hashes(texts[a:b])
-        n = len(h) - WORDS + 1
-        full = mix(sum((h[j : j + n] * _TIMES[j] for j in range(1, WORDS)), h[:n] * _TIMES[0])) if n > 0 else h[:0]
-        at = 0
-        for c in counts.tolist():
-            if c >= WORDS:
-                out.append(np.unique(full[at : at + c - WORDS + 1]))
-            elif c:
-                out.append(mix(np.array([(h[at : at + c] * _TIMES[:c]).sum(dtype=np.uint64) + _TIMES[WORDS] * np.uint64(c)], np.uint64)))
-            else:
-                out.append(h[:0])
-            at += c
+    h, counts = word_hashes(texts)
+    n = len(h) - WORDS + 1
+    full = mix(sum((h[j : j + n] * _TIMES[j] for j in range(1, WORDS)), h[:n] * _TIMES[0])) if n > 0 else h[:0]
+    at = 0
+    for c in counts.tolist():
+        if c >= WORDS:
+            out.append(np.unique(full[at : at + c - WORDS + 1]))
+        elif c:
+            out.append(mix(np.sum(h[at : at + c] * _TIMES[:c], keepdims=True) + _TIMES[WORDS] * np.array([c], np.uint64)))
+        else:
+            out.append(h[:0])
+        at += c
     return out
 
 
+def sets_of(column):
+    """The sets of an Arrow column's texts, a run of texts at a time."""
+    for _, _, texts in runs(column):
+        yield from shingle_sets(texts)
+
+
 def class_of(tokens: np.ndarray) -> int:
     """A set's identity: 64 bits of its tokens in any order."""
     return int(mix(np.array([mix(tokens ^ _TIMES[0]).sum(dtype=np.uint64) + np.uint64(len(tokens))], np.uint64)).view(np.int64)[0])
@@ -74,10 +80,9 @@ def prefix_size(n: int) -> int:
 def _digest(docs: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
-            sets = shingle_sets(as_bytes(b.column(1)))
-            cls = [class_of(s) if len(s) else None for s in sets]
-            low = [int((s < _HALF).sum()) for s in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(map(len, sets)), pa.int64()), pa.array(low, pa.int64()), pa.array(cls, pa.int64())], ["doc_id", "n", "low", "cls"])
+            found = [(len(s), int((s < _HALF).sum()), class_of(s) if len(s) else None) for s in sets_of(b.column(1))]
+            n, low, cls = zip(*found, strict=True) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(low, pa.int64()), pa.array(cls, pa.int64())], ["doc_id", "n", "low", "cls"])
 
     return docs.mapInArrow(run, "doc_id long, n long, low long, cls long")
 
@@ -152,7 +157,7 @@ def _postings(docs: DataFrame, buckets: int, groups: int) -> DataFrame:
     def run(batches):
         tokens, owners, classes, seen, size = [], [], [], set(), 0
         for b in batches:
-            for s in shingle_sets(as_bytes(b.column(1))):
+            for s in sets_of(b.column(1)):
                 n = len(s)
                 if n < 2 or (c := class_of(s)) in seen:  # a set of one token has no partner but itself
                     continue
@@ -281,21 +286,59 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of ``pairs(a, b)``, those whose sets are similar enough."""
-    left = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x"))
-    right = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y"))
-    met = pairs.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("x", "y")))
-    return met.filter(DEN * F.col("both") >= NUM * (F.size("x") + F.size("y") - F.col("both"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
+def linked(sets: list[np.ndarray], sides: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links among ``sets`` (with ``sides``: across the two sides only), as a spanning forest of their components."""
+    n = np.array([len(s) for s in sets], np.float32)
+    token, where = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), n.astype(np.int64))
+    order = np.argsort(where, kind="stable")
+    where, owner = where[order], owner[order]
+    often = np.bincount(where) > 1
+    keep = often[where]
+    where, owner = (np.cumsum(often) - 1)[where[keep]], owner[keep]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    width = max(1, (4 << 20) // len(sets))
+    for low in range(0, int(often.sum()), width):
+        i, j = np.searchsorted(where, (low, low + width))
+        part = np.zeros((len(sets), width), np.float32)
+        part[owner[i:j], where[i:j] - low] = 1
+        both += part @ part.T
+    link = DEN * both >= NUM * (n[:, None] + n[None, :] - both)
+    if sides is not None:
+        link &= sides[:, None] != sides[None, :]
+    np.fill_diagonal(link, True)
+    label = np.arange(len(sets))
+    while True:
+        new = np.where(link, label[None, :], len(sets)).min(1)
+        new = np.minimum(new, new[new])
+        if (new == label).all():
+            return [(i, int(r)) for i, r in enumerate(label) if r != i]
+        label = new
 
 
-def _fits(a: str, b: str):
-    return DEN * F.least(a, b) >= NUM * F.greatest(a, b)
+def _links(rows: DataFrame) -> DataFrame:
+    """(u, v): links within each (sc, i, j) of ``rows(task, sc, i, j, cls, b, tokens)``; across blocks where i < j."""
+
+    def run(table):
+        keys = list(zip(*(table[c].to_pylist() for c in ("sc", "i", "j")), strict=True))
+        cls, block, tokens = table["cls"].to_pylist(), table["b"].to_pylist(), table["tokens"].combine_chunks()
+        offsets, flat = tokens.offsets.to_numpy(), tokens.values.to_numpy().view(np.uint64)
+        of: dict[tuple, dict[int, int]] = {}
+        for r, k in enumerate(keys):
+            of.setdefault(k, {})[cls[r]] = r  # a class once
+        out = []
+        for (_, i, j), members in of.items():
+            at = list(members.values())
+            sides = np.array([block[r] for r in at]) if i != j else None
+            out += [(cls[at[x]], cls[at[y]]) for x, y in linked([flat[offsets[r] : offsets[r + 1]] for r in at], sides)]
+        u, v = zip(*out, strict=True) if out else ((), ())
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return rows.groupBy("task").applyInArrow(run, "u long, v long")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) for each document."""
-    spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     digest = landed(_digest(docs), "shingles")
     total, tokens = digest.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
@@ -306,7 +349,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     shared = _frequencies(_postings(docs, buckets, groups), groups)
     sigs = landed(_signatures(shared, classes.filter("n > 1"), groups), "signatures")
     counts = sigs.groupBy("sig").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-    sigs = landed(grouped_join(sigs, counts, ["sig"], "k", max(sigs.count(), 1)).filter("k > 1").distinct(), "signed")
+    sigs = landed(grouped_join(sigs, counts, ["sig"], "k", max(sigs.count(), 1)).filter("k > 1").select("sig", "cls").distinct(), "signed")
 
     reps = sigs.select("cls").distinct().join(classes, "cls").select(F.col("rep").alias("doc_id")).filter("doc_id is not null").distinct()
     unnamed = classes.filter("rep is null").select("cls")
@@ -315,7 +358,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         seen: set[int] = set()
         for b in batches:
             rows = []
-            for s in shingle_sets(as_bytes(b.column(0))):
+            for s in sets_of(b.column(0)):
                 c = class_of(s) if len(s) > 1 else None
                 if c is not None and c not in seen:
                     seen.add(c)
@@ -329,34 +372,35 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         chosen = chosen.unionByName(docs.filter("doc_id is null").select("text"))
     sets = landed(chosen.mapInArrow(tokenise, "cls long, tokens array<long>"), "sets")
 
-    stars = spark.createDataFrame([], "u long, v long")
-    tested = None
-    open_sigs = sigs.withColumn("root", F.col("cls"))
-    for turn in range(ROUNDS + 1):
-        spread = open_sigs.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("many")).filter("lo <> hi")
-        n_open = open_sigs.count()
-        open_sigs = landed(grouped_join(open_sigs, spread.select("sig", "many"), ["sig"], "many", max(n_open, 1)).filter("many is not null").drop("many"), "open")
-        if turn < ROUNDS:
-            heads = open_sigs.groupBy("sig").agg(F.min_by(F.struct("cls", "n", "root"), F.xxhash64("cls", F.lit(turn))).alias("h"), F.count(F.lit(1)).alias("many"))
-            heads = heads.select("sig", "many", F.col("h.cls").alias("b"), F.col("h.n").alias("bn"), F.col("h.root").alias("broot"))
-            met = grouped_join(open_sigs.withColumnRenamed("cls", "a"), heads, ["sig"], "many", max(n_open, 1))
-            pairs = met.filter((F.col("root") != F.col("broot")) & _fits("n", "bn"))
-        else:  # what is still in different components
-            other = open_sigs.select("sig", F.col("cls").alias("b"), F.col("n").alias("bn"), F.col("root").alias("broot"))
-            met = open_sigs.withColumnRenamed("cls", "a").join(other, "sig")
-            pairs = met.filter((F.col("a") < F.col("b")) & (F.col("root") != F.col("broot")) & _fits("n", "bn"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = landed(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            if turn < ROUNDS:
-                continue
-            break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = landed(_linked(pairs, sets), "links")
-        if not links.isEmpty():
-            stars = components(stars.unionByName(links))
-            roots = stars.select(F.col("u").alias("cls"), F.col("v").alias("new"))
-            open_sigs = open_sigs.join(roots, "cls", "left").select("sig", "cls", "n", F.coalesce("new", "cls").alias("root"))
+    # Candidates: classes reach each other through common signatures, each tied to the smallest class of the signature.
+    heads = sigs.groupBy("sig").agg(F.min("cls").alias("v"), F.count(F.lit(1)).alias("many"))
+    ties = grouped_join(sigs.select("sig", F.col("cls").alias("u")), heads, ["sig"], "many", max(sigs.count(), 1)).select("u", "v").distinct()
+    clusters = components(ties)
+    clusters = clusters.unionByName(clusters.select(F.col("v").alias("u"), "v").distinct()).select(F.col("u").alias("cls"), F.col("v").alias("sc"))
+    sizes = clusters.groupBy("sc").agg(F.count(F.lit(1)).alias("m"))
+    count = clusters.count()
+    members = grouped_join(clusters, sizes, ["sc"], "m", max(count, 1)).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+    members = landed(members.withColumn("b", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")), "members")
+    tasks = 1 + count // 1000
+    task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("sc"), F.lit(tasks))).otherwise(F.xxhash64("sc", "i", "j"))
+    shown = ["task", "sc", "i", "j", "cls", "b", "tokens"]
+
+    # Within blocks first; a cluster's smallest class visits all its blocks, so that a tight cluster is one component then.
+    own = members.withColumns({"i": F.col("b"), "j": F.col("b")})
+    visit = members.filter("cls = sc and blocks > 1").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("i <> b").withColumn("j", F.col("i"))
+    links = landed(_links(own.unionByName(visit).withColumn("task", task).join(sets, "cls").select(*shown)), "links")
+
+    # Then across blocks, where a cluster isn't one component.
+    wide = members.filter("blocks > 1")
+    if not wide.isEmpty():
+        roots = components(links).select(F.col("u").alias("cls"), F.col("v").alias("root"))
+        wide = wide.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        loose = wide.groupBy("sc").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sc")
+        wide = wide.join(loose, "sc", "left_semi")
+        pairs = wide.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("o <> b")
+        pairs = pairs.withColumns({"i": F.least("b", "o"), "j": F.greatest("b", "o")}).withColumn("task", task)
+        links = links.unionByName(landed(_links(pairs.join(sets, "cls").select(*shown)), "links"))
+    stars = components(links)
 
     rooted = classes.join(stars.select(F.col("u").alias("cls"), F.col("v").alias("root")), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("many"))
