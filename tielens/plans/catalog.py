@@ -877,3 +877,212 @@ def followup_clear(t):
     seen = t.v_outbound.select("subject", F.left("last_email_date", F.lit(10)).alias("day")).distinct()
     rows = t.v_activity.filter("source = 'manual'").withColumn("day", F.left("ts_text", F.lit(10)))
     return rows.join(seen, ["subject", "day"], "left_anti").select("activity_id")
+
+
+# ---- CRM records ----
+
+_V = lambda path: f"(doc::JSON ->> '{path}')"
+_TEXT = lambda slug: _V(f"$.{slug}[0].value")
+_NAME = f"coalesce({_V('$.name[0].full_name')}, {_TEXT('name')}, nullif(trim(concat_ws(' ', {_V('$.name[0].first_name')}, {_V('$.name[0].last_name')})), ''))"
+_TITLE = f"coalesce({_V('$.stage[0].option.title')}, CASE WHEN json_type(doc::JSON, '$.stage[0].value') = 'VARCHAR' THEN {_TEXT('stage')} END)"
+_TOUCH = f"coalesce({_TEXT('touched')}, {_V('$.touched[0].interacted_at')}, {_V('$.touched[0].date')})"
+_MAILS = "list_filter(list_transform(CAST(json_extract_string(doc::JSON, '$.emails[*].email_address') AS VARCHAR[]), lambda e: lower(trim(e))), lambda e: contains(e, '@'))"
+
+
+def _crm(t):
+    from ..functions import variant
+
+    return t.v_crm.withColumn("v", variant.parsed(C("doc"))), variant
+
+
+@query(
+    f"SELECT record_id, {_NAME} AS name, {_TITLE} AS stage, strftime({o.flex(_TOUCH)}, '%Y-%m-%d') AS touched, coalesce({_V('$.company[0].target_record_id')}, {_V('$.company[0].target_record.record_id')}) AS company, coalesce(created_at, {_TEXT('created_at')}) AS created, array_to_string(list_sort(list_distinct({_MAILS})), ',') AS emails, {_MAILS}[1] AS email FROM v_crm"
+)
+def crm_getters(t):
+    rows, v = _crm(t)
+    return rows.select("record_id", v.name_of(C("v")).alias("name"), v.select_title_of(C("v"), "stage").alias("stage"), v.date_of(C("v"), "touched").alias("touched"), v.reference_of(C("v"), "company").alias("company"), v.created_at(C("created_at"), C("v")).alias("created"), F.array_join(F.array_sort(v.emails_of(C("v"))), ",").alias("emails"), v.email_of(C("v")).alias("email"))
+
+
+@query("SELECT m.attio_record_id AS record_id, p.name, CASE WHEN p.record_id IS NULL THEN 'not_found' ELSE 'ok' END AS status FROM (SELECT DISTINCT attio_record_id FROM v_master WHERE attio_record_id <> '') m LEFT JOIN v_people p ON p.record_id = m.attio_record_id")
+def batched_fetch(t):
+    from ..sources import crm
+
+    ids = t.v_master.filter("attio_record_id <> ''").select(C("attio_record_id").alias("record_id")).distinct()
+    return crm.fetch(ids, t.v_people).select("record_id", "name", "status")
+
+
+@query("SELECT record_id, name FROM v_people WHERE last_direction = 'Inbound' AND strength_label = 'Good'")
+def filtered_scan(t):
+    from ..sources import crm
+
+    return crm.where(t.v_people, (C("last_direction") == "Inbound") & (C("strength_label") == "Good")).select("record_id", "name")
+
+
+@query("SELECT count(DISTINCT record_id) AS n FROM v_people WHERE company <> ''")
+def filtered_count(t):
+    from ..sources import crm
+
+    return crm.count_where(t.v_people, C("company") != "")
+
+
+@query(f"SELECT DISTINCT lower(c.primary_email) AS email, p.record_id FROM (SELECT DISTINCT lower(primary_email) AS primary_email FROM v_contacts WHERE primary_email <> '' AND primary_email NOT LIKE 'info%' AND primary_email NOT LIKE 'owner%' AND primary_email NOT LIKE '%noreply%' AND primary_email NOT LIKE 'no-reply%' AND primary_email NOT LIKE 'a1b2%') c JOIN (SELECT record_id, unnest({o.split_list('lower(all_emails)')}) AS email FROM v_people) p ON p.email = c.primary_email")
+def lookup_by_email(t):
+    from ..sources import crm
+
+    c = F.lower("primary_email")
+    rows = t.v_contacts.select(c.alias("email")).filter("email <> ''").distinct()
+    for pattern in ("info%", "owner%", "%noreply%", "no-reply%", "a1b2%"):
+        rows = rows.filter(~C("email").like(pattern))
+    return crm.by_email(rows, t.v_people, cells.split_list(F.lower("all_emails")))
+
+
+@query("SELECT c.sheet_row, CASE WHEN trim(c.title) <> '' THEN c.title ELSE n.n_name END AS title FROM v_contacts c LEFT JOIN nation n ON n.n_name = c.company")
+def dimension_fallback(t):
+    dim = t.nation.select(C("n_name").alias("company"), C("n_name").alias("dim_name"))
+    return t.v_contacts.join(F.broadcast(dim), "company", "left").select("sheet_row", F.coalesce(text.filled(C("title")), C("dim_name")).alias("title"))
+
+
+# ---- repairs ----
+
+
+@query(f"WITH c AS (SELECT master_row, bhc_id, row_number() OVER (PARTITION BY bhc_id ORDER BY score DESC, master_row) AS rn, first_value(master_row) OVER (PARTITION BY bhc_id ORDER BY score DESC, master_row) AS best, members FROM (SELECT master_row, trim(bhc_id) AS bhc_id, upper(trim(location)) AS location, count(*) OVER (PARTITION BY trim(bhc_id)) AS members, CASE WHEN {o.leading('google_row')} > 0 THEN 2 ELSE 0 END + CASE WHEN trim(attio_record_id) <> '' THEN 2 ELSE 0 END AS score FROM v_master WHERE trim(bhc_id) <> '') WHERE members >= 2 AND location <> 'SUPERSEDED') SELECT master_row, bhc_id, best AS canonical_row, 'Duplicate of row ' || best AS note FROM c WHERE rn > 1")
+def repair_s1(t):
+    from ..operators import repairs
+
+    return repairs.repair_s1(t.v_master)
+
+
+@query(f"SELECT f.master_row, m.attio_record_id, f.bhc_id AS new_id, CASE WHEN {o.verify('p.name', 'm.full_name')} = 'MATCH' THEN 'PROCEED' ELSE 'NEEDS_MANUAL' END AS action FROM o_crm f JOIN v_master m ON m.master_row = f.master_row JOIN v_people p ON p.record_id = m.attio_record_id WHERE f.code = 'A1'")
+def repair_a1(t):
+    from ..operators import repairs
+
+    return repairs.repair_a1(audit.crm_side(t.v_master, t.v_people, t.v_contacts), t.v_master, t.v_people)
+
+
+@query("SELECT f.master_row, f.bhc_id, CASE WHEN n IS NULL THEN 'google_only' WHEN n = 1 THEN 'repoint' ELSE 'manual' END AS action, CASE WHEN n = 1 THEN h.record_id END AS new_pointer FROM o_crm f LEFT JOIN (SELECT bhc_contact_id, count(*) AS n, min(record_id) AS record_id FROM v_people WHERE bhc_contact_id <> '' GROUP BY 1) h ON h.bhc_contact_id = f.bhc_id WHERE f.code = 'A3'")
+def repair_a3(t):
+    from ..operators import repairs
+
+    return repairs.repair_a3(audit.crm_side(t.v_master, t.v_people, t.v_contacts), t.v_master, t.v_people)
+
+
+@query(f"SELECT attio_record_id, CASE WHEN ids = 1 THEN id_row WHEN ids = 0 AND names = 1 THEN name_row END AS canonical_row, CASE WHEN ids = 1 OR (ids = 0 AND names = 1) THEN 'keep_canonical' ELSE 'manual' END AS action FROM (SELECT attio_record_id, count(*) FILTER (WHERE by_id) AS ids, count(*) FILTER (WHERE by_name) AS names, min(master_row) FILTER (WHERE by_id) AS id_row, min(master_row) FILTER (WHERE by_name) AS name_row, count(*) AS n FROM (SELECT a.attio_record_id, a.master_row, coalesce(p.bhc_contact_id = a.bhc_id, false) AS by_id, {o.verify('p.name', 'a.full_name')} = 'MATCH' AS by_name FROM o_audit a LEFT JOIN v_people p ON p.record_id = a.attio_record_id WHERE a.attio_record_id <> '') GROUP BY 1) WHERE n > 1")
+def repair_s4(t):
+    from ..operators import repairs
+
+    return repairs.repair_s4(t.v_master, t.v_people)
+
+
+@query(
+    f"SELECT f.master_row, m.attio_record_id, f.notes AS field, f.expected AS value, CASE WHEN p.bhc_contact_id <> f.bhc_id OR {o.verify('p.name', 'm.full_name')} <> 'MATCH' THEN 'NEEDS_MANUAL' WHEN f.notes = 'Email' AND (w.low <> m.attio_record_id OR w.high <> m.attio_record_id) THEN 'EMAIL_CONFLICT' ELSE 'PATCH' END AS action FROM o_drift f JOIN v_master m ON m.master_row = f.master_row JOIN v_people p ON p.record_id = m.attio_record_id LEFT JOIN (SELECT lower(primary_email) AS k, min(record_id) AS low, max(record_id) AS high FROM v_people GROUP BY 1) w ON w.k = lower(f.expected)"
+)
+def repair_i1(t):
+    from ..operators import repairs
+
+    return repairs.repair_i1(audit.identity_drift(t.v_master, t.v_people, t.v_contacts), t.v_master, t.v_people)
+
+
+# ---- flow ----
+
+
+@query("SELECT sheet_row, upper(trim(resolved)) = 'TRUE' AS done FROM v_brain")
+def split_resolved(t):
+    from ..operators import flow
+
+    done, left = flow.split_resolved(t.v_brain)
+    return done.select("sheet_row", F.lit(True).alias("done")).unionByName(left.select("sheet_row", F.lit(False).alias("done")))
+
+
+@query("SELECT record_id FROM v_people WHERE record_id NOT IN (SELECT record_id FROM v_queue WHERE status = 'processed') ORDER BY record_id LIMIT 60")
+def resume_checkpoint(t):
+    """The next 60 rows of a run: the batch size is the feature."""
+    from ..operators import flow
+
+    progress = t.v_queue.select("record_id", F.when(C("status") == "processed", "DONE").otherwise("PENDING").alias("status"))
+    return flow.resume(t.v_people.select("record_id"), progress, "record_id")
+
+
+@query("SELECT record_id, may AND rn <= 250 AS selected FROM (SELECT record_id, may, row_number() OVER (PARTITION BY may ORDER BY record_id) AS rn FROM (SELECT record_id, readable AND score BETWEEN 15 AND 90 AS may FROM o_scored))")
+def llm_cap(t):
+    """The first 250 eligible contacts of a run are called, the others are reported: the cap is the feature."""
+    from ..operators import flow
+
+    rows = scoring.scored(t.v_people).select("record_id", scoring.may_call(C("readable"), C("score")).alias("may"))
+    return flow.capped(rows, C("may"), ["record_id"], 250).select("record_id", "selected")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 11 = 0 THEN 'ERROR' WHEN event_type = 'click' THEN 'PROCESS' WHEN event_type = 'view' THEN 'WRITE' ELSE 'DONE' END AS status FROM events")
+def status_machine(t):
+    from ..operators import flow
+
+    status = F.when(C("event_type") == "click", "NEW").when(C("event_type") == "view", "REVIEW").otherwise("WRITE")
+    return t.events.select("event_id", flow.advance(status, C("event_id") % 11 == 0).alias("status"))
+
+
+@query(
+    f"SELECT p.record_id, CASE WHEN trim(p.job_title) <> '' THEN p.job_title ELSE c.title END AS title, CASE WHEN trim(c.company) <> '' THEN c.company ELSE p.company END AS company, strftime(greatest(p.first_interaction, p.last_interaction), '%Y-%m-%d') AS newest FROM v_people p JOIN v_contacts c ON c.contact_id = p.bhc_contact_id WHERE p.bhc_contact_id <> ''"
+)
+def field_policies(t):
+    from ..operators import flow
+
+    met = t.v_people.filter("bhc_contact_id <> ''").alias("p").join(t.v_contacts.alias("c"), C("p.bhc_contact_id") == C("c.contact_id"))
+    return met.select("record_id", flow.set_if_blank(C("job_title"), C("title")).alias("title"), flow.overwrite_if_filled(C("p.company"), C("c.company")).alias("company"), flow.set_if_newer(C("first_interaction"), C("last_interaction")).alias("newest"))
+
+
+_MEET = "(SELECT 'm' || event_id AS meeting_id, 'u' || (event_id % 60) AS url, ts AS started FROM events WHERE event_type = 'view')"
+_KNOWN = "(SELECT 'm' || (event_id + event_id % 3) AS meeting_id, 'u' || (event_id % 60) AS url, ts AS started FROM events WHERE event_type = 'view' AND event_id % 7 = 0)"
+
+
+@query(f"SELECT meeting_id, url FROM {_MEET} m WHERE meeting_id NOT IN (SELECT meeting_id FROM {_KNOWN}) AND NOT EXISTS (SELECT 1 FROM {_KNOWN} k WHERE k.url = m.url AND floor(epoch(k.started)) <= floor(epoch(m.started)) AND floor(epoch(m.started)) - floor(epoch(k.started)) <= 32400)")
+def new_meetings(t):
+    from ..operators import flow
+
+    views = t.events.filter("event_type = 'view'")
+    url = F.concat(F.lit("u"), (C("event_id") % 60).cast("string")).alias("url")
+    meetings = views.select(F.concat(F.lit("m"), C("event_id").cast("string")).alias("meeting_id"), url, C("ts").alias("started"))
+    known = views.filter("event_id % 7 = 0").select(F.concat(F.lit("m"), (C("event_id") + C("event_id") % 3).cast("string")).alias("meeting_id"), url, C("ts").alias("started"))
+    return flow.new_meetings(meetings, known).select("meeting_id", "url")
+
+
+@query("SELECT r.cluster_key, r.evidence_id, CASE WHEN c.activity_id IS NULL THEN 'ERROR' ELSE 'DONE' END AS verdict, CASE WHEN c.activity_id IS NULL THEN 'evidence id is not a candidate' END AS error FROM (SELECT cluster_key, CASE WHEN length(cluster_key) % 2 = 0 THEN 'ACT-invented' ELSE first END AS evidence_id FROM (SELECT cluster_key, min(activity_id) AS first FROM (SELECT k.cluster_key, a.activity_id FROM o_clusters k JOIN v_activity a ON a.contact_id = k.contact_id AND k.contact_id <> '') GROUP BY 1)) r LEFT JOIN (SELECT DISTINCT k.cluster_key, a.activity_id FROM o_clusters k JOIN v_activity a ON a.contact_id = k.contact_id AND k.contact_id <> '') c ON c.cluster_key = r.cluster_key AND c.activity_id = r.evidence_id")
+def evidence_verdicts(t):
+    from ..operators import flow
+
+    groups = tasks.clusters(t.v_tasks).filter("contact_id <> ''").select("cluster_key", "contact_id")
+    held = groups.join(t.v_activity.select("contact_id", "activity_id"), "contact_id").select("cluster_key", "activity_id").distinct()
+    first = held.groupBy("cluster_key").agg(F.min("activity_id").alias("first"))
+    said = first.select("cluster_key", F.when(F.length("cluster_key") % 2 == 0, "ACT-invented").otherwise(C("first")).alias("evidence_id"), F.lit("DONE").alias("verdict"))
+    return flow.judged(said, held)
+
+
+@query(
+    f"SELECT doc_id, concat_ws(',', CASE WHEN a <> text THEN 'text' END, CASE WHEN b <> lang THEN 'lang' END) AS redacted_fields, md5(a) AS text_md5 FROM (SELECT doc_id, text, lang, regexp_replace(regexp_replace(regexp_replace({_REDACTED}, '{o.re2(pii.SSN)}', '[REDACTED_SSN]', 'g'), '{o.re2(pii.API_KEY)}', '[REDACTED_API_KEY]', 'g'), '{o.re2(pii.PASSWORD)}', '[REDACTED_PASSWORD]', 'g') AS a, lang AS b FROM v_text JOIN (SELECT doc_id, lang FROM documents) USING (doc_id))"
+)
+def guarded_fields(t):
+    from ..operators import flow
+
+    rows = t.v_text.join(t.documents.select("doc_id", "lang"), "doc_id")
+    return flow.guard_fields(rows, ["text", "lang"]).select("doc_id", "redacted_fields", F.md5("text").alias("text_md5"))
+
+
+# ---- sinks as plans ----
+
+
+@query("SELECT bhc_id, coalesce(n.name, o.name) AS name FROM (SELECT bhc_id, full_name AS name FROM o_index WHERE location = 'BOTH') n FULL JOIN (SELECT contact_id AS bhc_id, min(company) AS name FROM v_contacts WHERE contact_id <> '' GROUP BY 1) o USING (bhc_id)")
+def upsert_by_key(t):
+    from ..sources import sinks
+
+    new = cadence.master_index(t.v_master).filter("location = 'BOTH'").select("bhc_id", C("full_name").alias("name"))
+    old = t.v_contacts.filter("contact_id <> ''").groupBy(C("contact_id").alias("bhc_id")).agg(F.min("company").alias("name"))
+    return sinks.upsert(new, old, "bhc_id")
+
+
+@query(
+    "SELECT x.bhc_id, CASE WHEN c.contact_id IS NULL OR p.bhc_contact_id IS NULL THEN 'key_changed' WHEN p.company IS NOT DISTINCT FROM x.new_value THEN 'written' ELSE 'readback_mismatch' END AS outcome FROM (SELECT bhc_id, CASE WHEN master_row % 2 = 0 THEN 'ALGERIA' ELSE '' END AS new_value FROM o_index) x LEFT JOIN (SELECT DISTINCT contact_id FROM v_contacts) c ON c.contact_id = x.bhc_id LEFT JOIN (SELECT bhc_contact_id, min(company) AS company FROM v_people GROUP BY 1) p ON p.bhc_contact_id = x.bhc_id"
+)
+def guarded_writes(t):
+    from ..sources import sinks
+
+    plan = cadence.master_index(t.v_master).select("bhc_id", F.when(C("master_row") % 2 == 0, "ALGERIA").otherwise("").alias("new_value"))
+    after = t.v_people.groupBy(C("bhc_contact_id").alias("bhc_id")).agg(F.min("company").alias("company"))
+    return sinks.guarded(plan, t.v_contacts.select(C("contact_id").alias("bhc_id")).distinct(), after, "bhc_id", "company")

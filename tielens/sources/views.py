@@ -28,6 +28,12 @@ def every(n: int, at: int = 0) -> str:
     return f"c_custkey > 0 AND c_custkey % {n} = {at}"
 
 
+def json_text(sql: str) -> str:
+    """Braces within SQL literals spelled as characters: in a view's text they stand for tables."""
+    held = sql.replace("{v_people}", "\0")
+    return held.replace("{", "' || chr(123) || '").replace("}", "' || chr(125) || '").replace("\0", "{v_people}")
+
+
 _FIRST, _LAST = pick("c_custkey % 12", FIRST), pick("CAST(floor(c_custkey / 12) AS INT) % 15", LAST)
 _DOMAIN = pick("c_custkey % 9", ("acme.example", "gmail.com", "example.com", "mail.bolt.example", "crest.example", "yahoo.com", "dune.example", "acme.example", "example.org"))
 _LOCAL = (
@@ -78,6 +84,12 @@ SELECT {padded("rec-", "c_custkey")} AS record_id,
 FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey
 LEFT JOIN (SELECT o_custkey, min({_DAY}) AS first_day, max({_DAY}) AS last_day FROM {{orders}} GROUP BY o_custkey) AS seen ON seen.o_custkey = c_custkey
 WHERE c_custkey % 19 <> 18""",
+    "v_crm": json_text("""
+SELECT record_id, '{"name":[' || CASE WHEN record_id LIKE '%0' THEN '{"first_name":"' || coalesce(name, '') || '","last_name":"X"}' WHEN record_id LIKE '%1' THEN '{"value":" ' || coalesce(name, '') || '"}' WHEN record_id LIKE '%2' THEN '' ELSE '{"full_name":"' || coalesce(name, '') || '"}' END || '],"stage":[' ||
+    CASE WHEN record_id LIKE '%3' THEN '{"option":{"title":"Stage 2"}}' WHEN record_id LIKE '%4' THEN '{"value":"Stage 3"}' WHEN record_id LIKE '%5' THEN '{"value":7}' ELSE '' END || '],"touched":[' || CASE WHEN record_id LIKE '%6' THEN '{"interacted_at":"2024-01-05T10:00:00Z"}' WHEN record_id LIKE '%7' THEN '{"date":"2024-02-01"}' ELSE '{"value":"45812"}' END ||
+    '],"emails":[{"email_address":"' || upper(primary_email) || '"},{"email_address":"x' || record_id || '@acme.example"},{"email_address":"x' || record_id || '@acme.example"},{"email_address":"bad"}],"company":[' || CASE WHEN record_id LIKE '%8' THEN '{"target_record":{"record_id":"co-8"}}' WHEN record_id LIKE '%9' THEN '' ELSE '{"target_record_id":"co-' || substr(record_id, 9, 1) || '"}' END ||
+    ']' || CASE WHEN record_id LIKE '%1' THEN '' ELSE ',"created_at":[{"value":"2024-03-0' || substr(record_id, 9, 1) || '"}]' END || '}' AS doc, CASE WHEN record_id LIKE '%2' THEN '2020-01-01' ELSE NULL END AS created_at
+FROM {v_people} WHERE record_id NOT LIKE '%33'"""),
     "v_pipeline": f"""
 SELECT 'ent-' || CAST(o_orderkey AS STRING) AS entry_id, {padded("rec-", "o_custkey")} AS record_id,
     CASE WHEN o_orderstatus = 'F' THEN 'Stage ' || CAST(o_orderkey % 8 AS STRING) ELSE 'Lost' END AS tnb_stage,
