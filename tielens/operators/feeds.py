@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import cells, text
+from ..sources.shared import landed
 from .keys import first_wins
 
 
@@ -31,11 +32,12 @@ def sync_plan(segments: DataFrame, people: DataFrame) -> DataFrame:
 def mint(rows: DataFrame, order: list[str], existing: DataFrame, id_col: str) -> DataFrame:
     """Serial ids ``BHC-%05d`` after the largest valid one.
 
-    Numbers come from counts per range partition, so no task ranks all rows.
+    Rows are written by ranges of the order, each with its range's number; numbers come from counts per range, so no
+    task ranks all rows, and a lost executor changes no number.
     """
     serial = F.regexp_extract(id_col, r"^BHC-([0-9]{5,})$", 1).try_cast("long")
     last = existing.agg(F.coalesce(F.max(serial), F.lit(0)).alias("last")).first()["last"]
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
+    ranged = landed(rows.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "ranges")
     sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     starts = sizes.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_start"))  # a row for each partition
     nth = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
