@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tielens.llm import decontaminate, jaccard_join, packing, quality, quotient_dedup, tokens
-from tielens.llm.common import landed
+from tielens.sources.shared import landed
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

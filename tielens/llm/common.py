@@ -2,38 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import inspect
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Ids that may be broadcast (8 MB of keys); beyond that the join is shuffled.
 BROADCAST_ROWS = 1_000_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
-    sc = spark.sparkContext
-    where = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not where:
-        where = f"file://{tempfile.mkdtemp(prefix='tielens-')}"
-        sc.setCheckpointDir(where)
-    return where.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/tielens-{tag}-{uuid.uuid4().hex}"
-
-
-def landed(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again: cuts lineage and outlives executors."""
-    path = fresh_path(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def keyed_filter(rows: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataFrame:
     """``rows`` semi- or anti-joined with landed ``keys``: broadcast after counting them, a shuffled hash join beyond."""
     if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
@@ -58,6 +36,47 @@ def grouped_join(rows: DataFrame, groups: DataFrame, on: list[str], size: str, t
     return hot.unionByName(rest)
 
 
+# ---- Python workers ----
+
+
+def _trim() -> None:
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+def lean(run):
+    """A function of batches, of a table or of two, after which a worker's free memory goes back: workers live on."""
+
+    def of_batches(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _trim()
+
+    def of_table(table):
+        try:
+            return run(table)
+        finally:
+            _trim()
+
+    def of_tables(left, right):
+        try:
+            return run(left, right)
+        finally:
+            _trim()
+
+    if inspect.isgeneratorfunction(run):
+        return of_batches
+    return of_table if len(inspect.signature(run).parameters) == 1 else of_tables
+
+
 # ---- words and their hashes, over whole Arrow buffers ----
 
 _SPACE = np.zeros(256, bool)

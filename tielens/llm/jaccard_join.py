@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grouped_join, keyed_filter, landed, mix, runs, word_hashes
+from ..sources.shared import landed
+from .common import grouped_join, keyed_filter, lean, mix, runs, word_hashes
 
 WORDS, NUM, DEN = 5, 75, 100
 #: Document frequency up to which a token is rare; sets up to PAIR_SIZE index frequent tokens in pairs.
@@ -84,7 +85,7 @@ def _digest(docs: DataFrame) -> DataFrame:
             n, low, cls = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(low, pa.int64()), pa.array(cls, pa.int64())], ["doc_id", "n", "low", "cls"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, low long, cls long")
+    return docs.mapInArrow(lean(run), "doc_id long, n long, low long, cls long")
 
 
 # ---- postings ----
@@ -168,13 +169,13 @@ def _postings(docs: DataFrame, buckets: int, groups: int) -> DataFrame:
                 owners.append(np.full(len(s), len(classes), np.int32))
                 classes.append(c)
                 size += len(s)
-                if size > 3_000_000:
+                if size > 1_500_000:
                     yield flush(tokens, owners, classes)
                     tokens, owners, classes, seen, size = [], [], [], set(), 0
         if size:
             yield flush(tokens, owners, classes)
 
-    return docs.mapInArrow(run, "bucket int, blob binary")
+    return docs.mapInArrow(lean(run), "bucket int, blob binary")
 
 
 def _frequencies(postings: DataFrame, groups: int) -> DataFrame:
@@ -205,7 +206,7 @@ def _frequencies(postings: DataFrame, groups: int) -> DataFrame:
         rows = list(_by_class(cls[shared], token[shared], df[shared], groups))
         return pa.table({"g": pa.array([r[0] for r in rows], pa.int32()), "blob": pa.array([r[1] for r in rows], pa.binary())})
 
-    return postings.groupBy("bucket").applyInArrow(run, "g int, blob binary")
+    return postings.groupBy("bucket").applyInArrow(lean(run), "g int, blob binary")
 
 
 def signatures_of(n: int, low: int, token: np.ndarray, df: np.ndarray) -> np.ndarray:
@@ -263,7 +264,7 @@ def _signatures(frequencies: DataFrame, classes: DataFrame, groups: int) -> Data
 
     group = F.pmod(F.col("cls").bitwiseAND(F.lit((1 << 62) - 1)), F.lit(groups)).cast("int")
     right = classes.select(group.alias("g"), "cls", "n", "low")
-    return frequencies.groupBy("g").cogroup(right.groupBy("g")).applyInArrow(run, "sig long, cls long, n long")
+    return frequencies.groupBy("g").cogroup(right.groupBy("g")).applyInArrow(lean(run), "sig long, cls long, n long")
 
 
 # ---- links and components ----
@@ -334,7 +335,7 @@ def _links(rows: DataFrame) -> DataFrame:
         u, v = zip(*out, strict=True) if out else ((), ())
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    return rows.groupBy("task").applyInArrow(run, "u long, v long")
+    return rows.groupBy("task").applyInArrow(lean(run), "u long, v long")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -344,7 +345,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     total, tokens = digest.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     classes = digest.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("low").alias("low"), F.count(F.lit(1)).alias("size"))
     classes = landed(classes, "classes")
-    buckets = 1 << max(5, (tokens // 3_000_000).bit_length())
+    buckets = 1 << max(5, (tokens // 2_000_000).bit_length())
     groups = 1 << max(5, (total // 12_000).bit_length())
     shared = _frequencies(_postings(docs, buckets, groups), groups)
     sigs = landed(_signatures(shared, classes.filter("n > 1"), groups), "signatures")
@@ -370,7 +371,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     chosen = keyed_filter(docs, landed(reps, "reps"), ["doc_id"], "left_semi").select("text")
     if not unnamed.isEmpty():
         chosen = chosen.unionByName(docs.filter("doc_id is null").select("text"))
-    sets = landed(chosen.mapInArrow(tokenise, "cls long, tokens array<long>"), "sets")
+    sets = landed(chosen.mapInArrow(lean(tokenise), "cls long, tokens array<long>"), "sets")
 
     # Candidates: classes reach each other through common signatures, each tied to the smallest class of the signature.
     heads = sigs.groupBy("sig").agg(F.min("cls").alias("v"), F.count(F.lit(1)).alias("many"))

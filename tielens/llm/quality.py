@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import runs
+from .common import lean, runs
 
 MOST_LABELLED = 20_000
 THRESHOLD = 0.7
@@ -131,7 +131,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             made = np.array([statistics(t) for _, _, texts in runs(b.column(1)) for t in texts], np.float32).reshape(-1, len(NAMES))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in made], pa.binary())], ["label", "x"])
 
-    got = texts.mapInArrow(run, "label double, x binary").toArrow()
+    got = texts.mapInArrow(lean(run), "label double, x binary").toArrow()
     x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float32).reshape(-1, len(NAMES)).astype(np.float64)
     y = (got["label"].to_numpy() > 0.5).astype(np.float64)
     order = np.lexsort((*x.T, y))  # tasks end in any order; the fit doesn't depend on it
@@ -152,7 +152,7 @@ def score(docs: DataFrame, model: Trees, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(_scores(b.column(2), model))], ["id", "held_out", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(run, f"id {kind}, held_out boolean, score double").withColumnRenamed("id", id_col)
+    out = rows.mapInArrow(lean(run), f"id {kind}, held_out boolean, score double").withColumnRenamed("id", id_col)
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
@@ -164,4 +164,4 @@ def keep_good(docs: DataFrame, model: Trees, text_col: str = "text", threshold:
         for b in batches:
             yield b.filter(pa.array(_scores(b.column(at), model) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

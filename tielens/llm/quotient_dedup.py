@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grouped_join, keyed_filter, landed
+from ..sources.shared import landed
+from .common import grouped_join, keyed_filter, lean
 
 SPACES = " \t\n\x0b\x0c\r"
 SHARD_BITS = 8
@@ -92,7 +93,7 @@ def repeated_fingerprints(prints: DataFrame, shard_bits: int = SHARD_BITS) -> Da
         fp, n = QuotientFilter.merge([QuotientFilter.from_bytes(x) for x in table["filter"].to_pylist()]).items()
         return pa.table({"fp": fp[n > 1].view(np.int64), "n": n[n > 1]})
 
-    return prints.select("fp").mapInArrow(build, "shard int, filter binary").groupBy("shard").applyInArrow(merge, "fp long, n long")
+    return prints.select("fp").mapInArrow(lean(build), "shard int, filter binary").groupBy("shard").applyInArrow(lean(merge), "fp long, n long")
 
 
 def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fingerprint=F.xxhash64) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import runs
+from .common import lean, runs
 
 #: Terminals that a task keeps before it starts anew (bounds memory, changes no result).
 MOST_TERMINALS = 600_000
@@ -113,4 +113,4 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], ["id", "n_pretokens", "n_tokens", "score"])
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, f"id {kind}, n_pretokens long, n_tokens long, score double").withColumnRenamed("id", id_col)
+    return picked.mapInArrow(lean(run), f"id {kind}, n_pretokens long, n_tokens long, score double").withColumnRenamed("id", id_col)

@@ -15,7 +15,7 @@ import numpy as np
 from .common import _power, mix
 
 #: Pieces that a worker's table holds before it starts anew (bounds memory, changes no result).
-MOST_PIECES = 1_000_000
+MOST_PIECES = 500_000
 _rng = np.random.default_rng(77)
 _FIRST, _SECOND = (_rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1) for _ in range(2))
 _WHITE = np.zeros(256, bool)
@@ -158,7 +158,7 @@ class Encoder:
             self.rows += len(new)
             self.flat = np.concatenate((self.flat, ids))
             self.recent = _merged(self.recent, (own[new], row[new].astype(np.int32)))
-            if len(self.recent[0]) > 150_000:
+            if len(self.recent[0]) > 100_000:
                 self.main, self.recent = _merged(self.main, self.recent), (self.recent[0][:0], self.recent[1][:0])
         return row[which]
 
