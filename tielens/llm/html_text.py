@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean
+
 #: HTML element classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript xmp iframe noembed noframes".split())
@@ -35,8 +37,12 @@ SCOPE = frozenset("ul ol dl table html body div article section main aside nav h
 ASIDE = frozenset(
     "ad ads advert adverts advertisement advertising banner banners sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs sidebar aside rail header masthead footer foot comment comments disqus respond replies cookie cookies consent notice notices gdpr newsletter subscribe subscription signup login popup modal overlay share sharing social related recommended widget pagination pager toolbar form search copyright".split()
 )
+#: Of these, the ones that a content word beside them overrules.
+WEAK = frozenset("header masthead rail form search social share sharing toolbar notice notices banner banners related recommended widget".split())
+CONTENT = frozenset("article content post main body entry story text".split())
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_GONE = re.compile(r"(?:^|\s)hidden(?=[\s=]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[a-z]+")
 _WHITE = re.compile(r"\s+")
 
@@ -49,9 +55,12 @@ class Node:
 
 
 def _aside(tag: str, attributes: str) -> bool:
-    if tag in ("html", "body", "article", "main") or "=" not in attributes:
+    if not attributes or tag in ("html", "body", "article", "main"):
         return False
-    return any(not ASIDE.isdisjoint(_WORD.findall((a or b or c).lower())) for a, b, c in _MARK.findall(attributes))
+    if _GONE.search(attributes):
+        return True
+    words = {w for a, b, c in _MARK.findall(attributes) for w in _WORD.findall((a or b or c).lower())} if "=" in attributes else set()
+    return not ASIDE.isdisjoint(words - WEAK if words & CONTENT else words)
 
 
 def parse(page: str) -> Node:
@@ -221,5 +230,5 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], ["id", "url", "text", "n_chars"])
 
     picked = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    out = picked.mapInArrow(run, f"id {kind}, url string, text string, n_chars long")
+    out = picked.mapInArrow(lean(run), f"id {kind}, url string, text string, n_chars long")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_chars")

@@ -273,23 +273,23 @@ def _signatures(frequencies: DataFrame, classes: DataFrame, groups: int) -> Data
 def components(edges: DataFrame) -> DataFrame:
     """(u, v): every node u of ``edges(u, v)`` but a component's smallest, with that smallest v. Stars in turn."""
     edges = landed(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges")
-    mark = None
+    mark, size = None, edges.count()
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("k")).withColumn("m", F.least("u", "m"))
-        large = both.filter("v > u").join(least.select("u", "m"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = grouped_join(both.filter("v > u"), least, ["u"], "k", max(2 * size, 1)).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
         edges = landed(hung.filter("u <> v").distinct(), "edges")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             return edges
-        mark = now
+        mark, size = now, now[0]
 
 
 def linked(sets: list[np.ndarray], sides: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links among ``sets`` (with ``sides``: across the two sides only), as a spanning forest of their components."""
-    n = np.array([len(s) for s in sets], np.float32)
+    n = np.array([len(s) for s in sets], np.float64)
     token, where = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), n.astype(np.int64))
     order = np.argsort(where, kind="stable")
@@ -413,8 +413,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id; columns unchanged."""
+    """``docs`` with one document of each component, that of the smallest id; columns unchanged.
+
+    Rows that share an id share its fate; rows without an id stay.
+    """
     found = join(docs, id_col, text_col)
-    gone = landed(found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).cast("long").alias("_id")).distinct(), "gone")
-    out = keyed_filter(docs.withColumn("_id", F.col(id_col).cast("long")), gone, ["_id"], "left_anti")
+    gone = landed(found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).cast("long").alias("__id")).distinct(), "gone")
+    out = keyed_filter(docs.withColumn("__id", F.col(id_col).cast("long")), gone, ["__id"], "left_anti")
     return out.select(*docs.columns)

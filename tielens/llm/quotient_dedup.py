@@ -134,16 +134,21 @@ def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that are copies; columns unchanged."""
-    found = landed(find_copies(docs, id_col, text_col).select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"), "kept"), "found")
+    found = landed(find_copies(docs, id_col, text_col).select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha"), "kept"), "found")
     sha = F.sha2(F.translate(F.coalesce(F.col(text_col), F.lit("")), SPACES, ""), 256)
-    marked = docs.withColumn("_id", F.col(id_col).cast("long")).withColumn("_sha", sha)
-    groups = found.groupBy("_id", "_sha").agg(F.count_if("kept").alias("stay"), F.count(F.lit(1)).alias("n"))
-    dropped = landed(groups.filter("stay = 0 and _id is not null").select("_id", "_sha"), "dropped")
-    twins = groups.filter("n > 1 and stay > 0 or _id is null and n > stay")
-    out = keyed_filter(marked, dropped, ["_id", "_sha"], "left_anti")
-    if not twins.isEmpty():  # the same id with the same text several times, or no id: one row of each text stays
-        named = out.filter("_id is not null").dropDuplicates(["_id", "_sha"])
-        spare = out.filter("_id is null").dropDuplicates(["_sha"])
-        gone = groups.filter("stay = 0 and _id is null").select("_sha")
-        out = named.unionByName(spare.join(gone, ["_sha"], "left_anti"))
+    marked = docs.withColumn("__id", F.col(id_col).cast("long")).withColumn("__sha", sha)
+    groups = found.groupBy("__id", "__sha").agg(F.count_if("kept").alias("stay"), F.count(F.lit(1)).alias("n"))
+    dropped = landed(groups.filter("stay = 0 and __id is not null").select("__id", "__sha"), "dropped")
+    twins = groups.filter("n > 1 and stay > 0 or __id is null and n > stay")
+    out = keyed_filter(marked, dropped, ["__id", "__sha"], "left_anti")
+    if not twins.isEmpty():  # the same id with the same text several times, or no id: the longest original of each stays
+        out = out.withColumn("__n", F.length(F.coalesce(F.col(text_col), F.lit(""))))
+
+        def longest(rows: DataFrame, on: list[str]) -> DataFrame:
+            most = rows.groupBy(*on).agg(F.max("__n").alias("__n"))
+            return rows.join(most, [*on, "__n"], "left_semi").dropDuplicates(on)
+
+        gone = groups.filter("stay = 0 and __id is null").select("__sha")
+        spare = longest(out.filter("__id is null"), ["__sha"]).join(gone, ["__sha"], "left_anti")
+        out = longest(out.filter("__id is not null"), ["__id", "__sha"]).unionByName(spare)
     return out.select(*docs.columns)
