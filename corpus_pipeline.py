@@ -2,6 +2,11 @@
 
 Each stage works on all that the one before kept, written as Parquet and read again. All but the last return the
 columns of ``documents``; the last returns the pieces of packed sequences.
+
+Defined results, in every stage: a null text is empty; an empty or very long text is judged whole like any other; null
+ids, languages, sources and counts change nothing; extra columns pass through all stages but the last, whatever their
+names; of repeated rows one stays after exact dedup; an empty table gives an empty result. Empty texts have no shingles
+and match no benchmark item, so the near-dedup and decontamination stages keep them.
 """
 
 from __future__ import annotations

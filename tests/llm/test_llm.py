@@ -456,5 +456,15 @@ def test_pipeline(spark):
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF).select("doc_id").distinct().collect()} == {d for d, _ in texts(frame)}
 
 
+def test_pipeline_edges(spark, edges, empty):
+    import corpus_pipeline
+
+    for frame in (edges, empty):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, frame, SF)
+            assert out.columns == frame.columns and out.count() <= frame.count()
+        assert corpus_pipeline.STAGES[-1][1](spark, frame, SF).count() >= frame.count()
+
+
 def test_queries_are_registered():
     assert {re.match(r"op(\d+)_", n)[1] for n in q.QUERIES} == {str(i) for i in range(1, 11)}
