@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import inspect
 
 import numpy as np
@@ -39,34 +40,53 @@ def grouped_join(rows: DataFrame, groups: DataFrame, on: list[str], size: str, t
 # ---- Python workers ----
 
 
-def _trim() -> None:
+def _libc():
     import ctypes
 
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:
+        return None  # another C library
+
+
+@functools.cache
+def _thrifty() -> None:
+    """Once in each worker process: large blocks are mapped, so that they go back when freed; few arenas."""
+    import pyarrow as pa
+
+    pa.set_memory_pool(pa.system_memory_pool())
+    if libc := _libc():
+        for option, value in ((-3, 2 << 20), (-1, 16 << 20), (-8, 2)):  # M_MMAP_THRESHOLD, M_TRIM_THRESHOLD, M_ARENA_MAX
+            libc.mallopt(option, value)
+
+
+def _trim() -> None:
     import pyarrow as pa
 
     pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except (OSError, AttributeError):
-        pass  # another C library
+    if libc := _libc():
+        libc.malloc_trim(0)
 
 
 def lean(run):
     """A function of batches, of a table or of two, after which a worker's free memory goes back: workers live on."""
 
     def of_batches(batches):
+        _thrifty()
         try:
             yield from run(batches)
         finally:
             _trim()
 
     def of_table(table):
+        _thrifty()
         try:
             return run(table)
         finally:
             _trim()
 
     def of_tables(left, right):
+        _thrifty()
         try:
             return run(left, right)
         finally:
