@@ -273,18 +273,20 @@ def _signatures(frequencies: DataFrame, classes: DataFrame, groups: int) -> Data
 def components(edges: DataFrame) -> DataFrame:
     """(u, v): every node u of ``edges(u, v)`` but a component's smallest, with that smallest v. Stars in turn."""
     edges = landed(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges")
-    mark, size = None, edges.count()
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("k")).withColumn("m", F.least("u", "m"))
-        large = grouped_join(both.filter("v > u"), least, ["u"], "k", max(2 * size, 1)).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = grouped_join(both.filter("v > u"), least, ["u"], "k", max(2 * edges.count(), 1)).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
         edges = landed(hung.filter("u <> v").distinct(), "edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
-            return edges
-        mark, size = now, now[0]
+    return edges
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every u has one v, and no v is a u."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("x").agg(F.sum("up").alias("ups"), F.max("down").alias("downs")).filter("ups > 1 or ups > 0 and downs > 0").isEmpty()
 
 
 def linked(sets: list[np.ndarray], sides: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -397,7 +399,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         roots = components(links).select(F.col("u").alias("cls"), F.col("v").alias("root"))
         wide = wide.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
         loose = wide.groupBy("sc").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sc")
-        wide = wide.join(loose, "sc", "left_semi")
+        wide = keyed_filter(wide, landed(loose, "loose"), ["sc"], "left_semi")
         pairs = wide.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("o <> b")
         pairs = pairs.withColumns({"i": F.least("b", "o"), "j": F.greatest("b", "o")}).withColumn("task", task)
         links = links.unionByName(landed(_links(pairs.join(sets, "cls").select(*shown)), "links"))
