@@ -68,25 +68,31 @@ def _trim() -> None:
         libc.malloc_trim(0)
 
 
-def lean(run):
-    """A function of batches, of a table or of two, after which a worker's free memory goes back: workers live on."""
+def lean(run, mapped: bool = True):
+    """A function of batches, of a table or of two, after which a worker's free memory goes back: workers live on.
+
+    ``mapped``: large blocks are mapped, which holds the peak down for some more CPU time.
+    """
 
     def of_batches(batches):
-        _thrifty()
+        if mapped:
+            _thrifty()
         try:
             yield from run(batches)
         finally:
             _trim()
 
     def of_table(table):
-        _thrifty()
+        if mapped:
+            _thrifty()
         try:
             return run(table)
         finally:
             _trim()
 
     def of_tables(left, right):
-        _thrifty()
+        if mapped:
+            _thrifty()
         try:
             return run(left, right)
         finally:

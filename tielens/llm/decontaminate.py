@@ -193,7 +193,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [f.split()[0] for f in FOUND.split(", ")])
 
         picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-        part = picked.mapInArrow(lean(run), FOUND)
+        part = picked.mapInArrow(lean(run, mapped=False), FOUND)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -208,5 +208,5 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
                 clean = [not got for _, texts in _batches(b.column(at)) for got in index.hits(texts)]
                 yield b.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(lean(run), docs.schema)
+        docs = docs.mapInArrow(lean(run, mapped=False), docs.schema)
     return docs

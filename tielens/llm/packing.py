@@ -258,7 +258,7 @@ def digests(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str,
                 )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(lean(run), "task int, doc_id long, n long, tail int, rank long, chunk long, crc array<long>")
+    return rows.mapInArrow(lean(run, mapped=False), "task int, doc_id long, n long, tail int, rank long, chunk long, crc array<long>")
 
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -297,7 +297,7 @@ def pack(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc_id
 
     placed = digest.join(counts.select("task", "tail", "before"), ["task", "tail"], "left")
     placed = placed.select("doc_id", "n", "tail", "rank", "chunk", "crc", "task", "before")
-    pieces = landed(placed.mapInArrow(lean(assign), PIECE + ", tail_crc long"), "pieces")
+    pieces = landed(placed.mapInArrow(lean(assign, mapped=False), PIECE + ", tail_crc long"), "pieces")
 
     # Cut tails: their documents are encoded again, for the checksums of the parts.
     cut = pieces.filter("ids_crc32 is null")
@@ -320,5 +320,5 @@ def pack(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc_id
             columns = list(zip(*out, strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [f.split()[0] for f in PIECE.split(", ")])
 
-    mended = cut.withColumn("key", F.struct("doc_id")).join(texts, "key").drop("key").mapInArrow(lean(again), PIECE).dropDuplicates(["sequence_id", "offset"])
+    mended = cut.withColumn("key", F.struct("doc_id")).join(texts, "key").drop("key").mapInArrow(lean(again, mapped=False), PIECE).dropDuplicates(["sequence_id", "offset"])
     return pieces.filter("ids_crc32 is not null").drop("tail_crc").unionByName(mended)

@@ -53,7 +53,7 @@ def encoded(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     tie = F.xxhash64("text")
     ordered = rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie, "text")
-    return ordered.mapInArrow(lean(run), "part int, doc_id long, before long, n_tokens long, ids array<int>")
+    return ordered.mapInArrow(lean(run, mapped=False), "part int, doc_id long, before long, n_tokens long, ids array<int>")
 
 
 def write_ids(docs: DataFrame, out: str, path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> str:
@@ -85,7 +85,7 @@ def read_digests(spark: SparkSession, out: str) -> DataFrame:
     rows = read_ids(spark, out)
     sizes = rows.groupBy("part").agg(F.sum("n_tokens").alias("size"))
     starts = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("first"))  # a row for each file
-    digests = rows.select("part", "doc_id", "before", "ids").mapInArrow(lean(run), "part int, doc_id long, before long, n_tokens long, ids_crc32 long")
+    digests = rows.select("part", "doc_id", "before", "ids").mapInArrow(lean(run, mapped=False), "part int, doc_id long, before long, n_tokens long, ids_crc32 long")
     return digests.join(F.broadcast(starts), "part").select("doc_id", (F.col("first") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
 
