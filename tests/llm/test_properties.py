@@ -60,3 +60,10 @@ def test_plan_places_every_tail_once(demand):
             at += length
         assert at <= 128
     assert sum(length for p in seen.values() for _, length in p) == sum(n * k for n, k in demand.items())
+
+
+def test_more_pieces_than_the_table():
+    small = tokens.Encoder(tokens.default_path(), 3)
+    for text in ("a b", " ".join(f"w{i}" for i in range(50)), "a b c d e", "x"):
+        ids, _ = small.encode([text.encode()])
+        assert ids.tolist() == small.tokenizer.encode(text, add_special_tokens=False).ids

@@ -37,24 +37,25 @@ def spread(first: np.ndarray, lens: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = MOST_PIECES):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.most = most
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
         for token, i in vocabulary.items():
             self.opens[i] = token.startswith("Ġ")
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._clear()
+        self._clear(most)
 
-    def _clear(self) -> None:
+    def _clear(self, room: int) -> None:
         """The table: rows in order of arrival (second hash, where a piece's ids stand), found by two sorted key lists."""
         self.rows = 0
-        self.check, self.begin, self.size = (np.empty(MOST_PIECES, t) for t in (np.uint64, np.int64, np.int32))
+        self.check, self.begin, self.size = (np.empty(room, t) for t in (np.uint64, np.int64, np.int32))
         self.main = self.recent = (np.empty(0, np.uint64), np.empty(0, np.int32))
         self.flat = np.empty(0, np.uint32)
 
@@ -123,8 +124,8 @@ class Encoder:
         own, first, which = np.unique(key, return_index=True, return_inverse=True)
         if (check[first][which] != check).any():
             raise AssertionError("two pieces with one hash")
-        if self.rows + len(own) > MOST_PIECES:
-            self._clear()
+        if self.rows + len(own) > len(self.check):
+            self._clear(max(self.most, len(own)))  # one very long text may have more pieces than that
         row = np.full(len(own), -1, np.int64)
         for keys, rows in (self.main, self.recent):
             if len(keys):
@@ -142,8 +143,6 @@ class Encoder:
                 c = np.minimum(starts[first[new]] + j, stops[first[new]])
                 front = (front << np.uint64(8)) | buf[c]
             new = new[np.argsort(front, kind="stable")]
-            if len(new) > MOST_PIECES:
-                raise AssertionError("a buffer with more pieces than the table")
             a, b = starts[first[new]] - 1, stops[first[new]]  # with the space before
             runs = [buf[spread(a[i : i + 1000], (b - a)[i : i + 1000])].tobytes().decode() for i in range(0, len(new), 1000)]
             ids = np.concatenate(self._whole(runs))
@@ -169,11 +168,11 @@ def _merged(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarra
     return key[order], row[order]
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder for each worker process and file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, most: int = MOST_PIECES) -> Encoder:
+    """One encoder for each worker process, file and table size."""
+    if (path, most) not in _encoders:
+        _encoders[path, most] = Encoder(path, most)
+    return _encoders[path, most]
