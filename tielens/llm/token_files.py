@@ -26,6 +26,8 @@ from .tokens import encoder
 END_ID = 0
 STRIPE_BYTES = 64 << 20
 ROW_GROUP = 1000
+#: Pieces in an encoder's table here: the stage holds little else.
+PIECES = 1_000_000
 
 
 def encoded(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -37,7 +39,7 @@ def encoded(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc
         part, before = TaskContext.get().partitionId(), 0
         for b in batches:
             for i, j, texts in runs(b.column(1)):
-                ids, counts = encoder(path).encode(texts)
+                ids, counts = encoder(path, PIECES).encode(texts)
                 ends = np.cumsum(counts)
                 ids = np.insert(ids.astype(np.int32), ends, end_id)
                 counts = counts + 1
