@@ -284,6 +284,22 @@ def test_smaller_trie_is_shallower(spark, docs):
     assert sum(b.values()) < sum(a.values())
 
 
+@pytest.mark.parametrize("common", [1 << 21, 50])
+def test_scores_are_of_the_whole_trie(spark, docs, monkeypatch, common):
+    """Of more than two million pairs, and of pairs that nearly all lie in shards."""
+    monkeypatch.setattr(ppm, "COMMON_PAIRS", common)
+    rng = np.random.default_rng(8)
+    many = [(i, bytes(rng.integers(97, 123, 9000, np.uint8)).decode()) for i in range(330)] if common > 50 else []
+    frame = spark.createDataFrame(many + [(1000 + d, t) for d, t in texts(docs)], "doc_id long, text string").repartition(4)
+    rows = texts(frame)
+    grams = ppm.symbols([(t or "").encode() for d, t in rows if zlib.crc32(str(d).encode()) % 5 != 1])[0]
+    keys, n = np.unique(ppm.at_order(grams, 6), return_counts=True)
+    model = ppm.Model(6, keys, n)
+    assert len(keys) > 2_000_000 or not many
+    got = {r.doc_id: r.score for r in ppm.score(frame).collect()}
+    assert got == {d: pytest.approx(model.log10(ppm.symbols([(t or "").encode()])[0]).sum(), rel=1e-6) for d, t in rows}
+
+
 # ---- 7 exact dedup ----
 
 
