@@ -447,6 +447,31 @@ def test_html_cases(page, want):
     assert html_text.main_text(page) == want
 
 
+def _sentence(n, size=300):
+    return (f"Passage {n} has words of its own and goes on. " * 20)[:size].strip()
+
+
+_PARAGRAPHS = ["".join(f"<p>{_sentence(10 * k + i)}</p>" for i in range(5)) for k in range(2)]
+
+
+@pytest.mark.parametrize(
+    "inner",
+    [
+        f"<h1>Head</h1><section>{_PARAGRAPHS[0]}</section><section>{_PARAGRAPHS[1]}</section>",
+        f"<h1>Head</h1><section>{_PARAGRAPHS[0]}</section>",
+        "<h1>Head</h1>" + "".join(f"<p>{_sentence(i)}</p>" for i in range(3)) + "<ul>" + "".join(f"<li>{_sentence(i, 80)}</li>" for i in range(20)) + "</ul>",
+        f"<h1>Head</h1><p>{_sentence(1)}</p><table>" + "".join(f"<tr><td>{_sentence(i, 60)}</td><td>{_sentence(i, 70)}</td></tr>" for i in range(12)) + f"</table><p>{_sentence(2)}</p>",
+        f"<h1>Head</h1><p>{_sentence(1)}</p><blockquote>{_PARAGRAPHS[0]}</blockquote><p>Yes.</p><p>{_sentence(2)}</p>",
+    ],
+)
+@pytest.mark.parametrize("outer", ["<article>{}</article>", "{}"])
+def test_html_keeps_inner_structure(inner, outer):
+    links = "<div>" + "".join(f"<a href=/{i}>Link number {i}</a> " for i in range(30)) + "</div>"
+    page = f"<html><body>{links}{outer.format(inner)}{links}</body></html>"
+    want = [re.sub(r"\s+", " ", x).strip() for x in re.split(r"<[^>]*>", inner)]
+    assert html_text.main_text(page) == "\n".join(x for x in want if x)
+
+
 def test_html_table_edges(spark):
     rows = spark.createDataFrame([(1, None, None), (1, "u", "<p>a"), (None, "u", "<p>" + "a " * 50000)], "page_id int, url string, html string").withColumn("text", F.lit(1))
     assert sorted(r.n_chars for r in html_text.extract(rows).collect()) == [0, 1, 99999]

@@ -4,7 +4,10 @@ A page becomes a tree; parts that never hold article text (scripts, menus, heade
 notices, reader comments) are taken out. Every node gets its composite text density: characters per tag, adjusted by
 how much of them are links and how that compares with the whole body. A node's density sum adds its children's
 densities. The node with the largest sum leads to the content; the least density on its path from the body is the
-threshold, and every subtree with at least that density gives its node of largest sum as content.
+threshold, and every subtree with at least that density, reached from the body through such subtrees, gives its node of
+largest sum as content. A node below the body that holds several of these is content as a whole; of the body's children,
+those between the first and the last that hold some are, unless most of their text is links. Headings before content,
+beside it or beside what holds it, belong to it.
 
 Defined results: null or empty HTML, or a page without text, gives an empty string. Unclosed and truncated tags are
 closed where HTML closes them. Nothing is cut: all text of a content subtree is kept. Blocks are joined by one ``\\n``;
@@ -39,6 +42,7 @@ ASIDE = frozenset(
 )
 #: Of these, the ones that a content word beside them overrules.
 WEAK = frozenset("header masthead rail form search social share sharing toolbar notice notices banner banners related recommended widget".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 CONTENT = frozenset("article content post main body entry story text".split())
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -125,6 +129,10 @@ def _ordered(root: Node) -> list[Node]:
     return out
 
 
+def _children(n: Node) -> list[Node]:
+    return [p for p in n.parts if isinstance(p, Node) and not p.hidden]
+
+
 def measure(root: Node) -> list[Node]:
     """Counts, densities and density sums of all visible nodes."""
     nodes = _ordered(root)
@@ -162,28 +170,43 @@ def content(root: Node) -> list[Node]:
     best = max(nodes, key=lambda n: n.total)
     if not best.total:
         return [body]
-    threshold, n = best.density, best
+    threshold, n, path = best.density, best, set()
     while n is not None:
+        path.add(id(n))
         threshold, n = min(threshold, n.density), None if n is body else n.parent
+    if id(body) not in path:
+        body = root
     top: dict[int, Node] = {}
     for n in reversed(nodes):  # the node of largest sum in each subtree
         mine = top.setdefault(id(n), n)
         if n.parent is not None and mine.total > top.setdefault(id(n.parent), n.parent).total:
             top[id(n.parent)] = mine
-    chosen, done = [], set()
-    stack = [root]
+    chosen, stack = set(), [body]
     while stack:
         n = stack.pop()
-        mine = top[id(n)]
-        children = [p for p in reversed(n.parts) if isinstance(p, Node) and not p.hidden]
-        if n.density >= threshold and mine.total >= best.total and id(mine) not in done:
-            done.add(id(mine))
-            chosen.append(mine)
-        elif n.density >= threshold and n.parent in chosen:
+        if n.density >= threshold and id(n) not in chosen:
+            chosen.add(id(top[id(n)]))
+            stack += _children(n)
+    holders: dict[int, int] = {}
+    for n in reversed(nodes):  # a node that holds several choices takes their place
+        if n is not body and holders.get(id(n), 0) > 1:
+            chosen.add(id(n))
+        if n.parent is not None and (id(n) in chosen or holders.get(id(n))):
+            holders[id(n.parent)] = holders.get(id(n.parent), 0) + 1
+    out, stack = [], [body]
+    while stack:
+        n = stack.pop()
+        if id(n) in chosen:
+            out.append(n)
             continue
-        else:
-            stack += children
-    return chosen or [best]
+        children = _children(n)
+        held = [i for i, c in enumerate(children) if id(c) in chosen or holders.get(id(c))]
+        for i, c in enumerate(children):
+            between = n is body and held and held[0] < i < held[-1] and 2 * c.link_chars <= c.chars
+            if held and i not in held and (between or i < held[-1] and c.tag in HEADINGS):
+                chosen.add(id(c))
+        stack += [c for c in reversed(children) if id(c) in chosen or holders.get(id(c))]
+    return out
 
 
 def blocks(node: Node, whole: str = "") -> list[str]:
