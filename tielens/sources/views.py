@@ -125,7 +125,7 @@ FROM {events} WHERE event_type = 'click' AND event_id % 4 = 0""",
 SELECT activity_id, sheet_row, ts_text, CASE WHEN sheet_row % 19 = 0 THEN ' - ' ELSE replace(contact_name, 'Contact ', 'Contact') END AS contact_name, body, note
 FROM {v_activity} WHERE channel = 'signup'""",
     "v_text": """
-SELECT doc_id, substr(text, 1, 3000) || CASE doc_id % 9 WHEN 0 THEN ' ssn 123-45-6789 end' WHEN 1 THEN ' Password: hunter2 ok' WHEN 2 THEN ' api_key=abcdEFGH12345678 z' WHEN 3 THEN ' routing number: 021000021'
+SELECT doc_id, text || CASE doc_id % 9 WHEN 0 THEN ' ssn 123-45-6789 end' WHEN 1 THEN ' Password: hunter2 ok' WHEN 2 THEN ' api_key=abcdEFGH12345678 z' WHEN 3 THEN ' routing number: 021000021'
     WHEN 4 THEN ' card 4111 1111 1111 1111 b' WHEN 5 THEN ' account no. 12345678 c' WHEN 6 THEN ' card 4111-1111-1111-1112 d' ELSE '' END AS text
 FROM {documents}""",
     "v_messages": """
@@ -135,7 +135,7 @@ SELECT CAST(conv_id AS STRING) AS thread_id, CAST(turn AS INT) AS pos, 'M' || CA
     CASE WHEN role = 'assistant' THEN CASE WHEN conv_id % 5 = 0 THEN 'owner@example.org' ELSE 'guest' || CAST(conv_id % 20 AS STRING) || '@acme.example' END ELSE 'owner@example.com' END AS recipient_email,
     CASE WHEN conv_id % 3 = 0 THEN 'cc1@dune.example,owner@example.org,cc2@dune.example' ELSE '' END AS cc,
     CASE WHEN conv_id % 6 = 1 THEN 'Quick question' WHEN conv_id % 6 = 2 THEN 'Your invoice' ELSE 'Hello' END AS subject,
-    CASE WHEN conv_id % 10 = 3 THEN 'my diagnosis ' WHEN conv_id % 10 = 4 THEN 'this is a test ' ELSE '' END || substr(text, 1, 200) AS body
+    CASE WHEN conv_id % 10 = 3 THEN 'my diagnosis ' WHEN conv_id % 10 = 4 THEN 'this is a test ' ELSE '' END || text AS body
 FROM {conversations}""",
     "v_brain": """
 SELECT CAST(row_number() OVER (ORDER BY conv_id) AS INT) + 1 AS sheet_row, 'LATE-EDITION-' || CAST(1000 + conv_id % 3 AS STRING) AS run_id, CAST(conv_id AS STRING) AS thread_id,
