@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tielens.functions import cells
 from tielens.plans.catalog import QUERIES
 from tielens.sources.views import Tables
 
@@ -25,3 +26,16 @@ def test_texts_are_whole(spark, long_texts):
     body = Tables(spark, long_texts).v_messages.first().body
     assert body.endswith("behind")
     assert QUERIES["email_messages"](spark, long_texts).first().body_md5 == spark.range(1).select(F.md5(F.lit(body))).first()[0]
+
+
+def test_all_clicks_and_tasks_take_part(spark):
+    t = Tables(spark, SF)
+    assert t.v_outbound.count() == t.events.filter("event_type = 'click'").count() > 0
+    assert t.v_outbound.filter("thread_id like '%b'").count() > 0
+    assert t.v_recon.count() == t.v_tasks.count() > 0
+
+
+def test_split_list_keeps_digits(spark):
+    """F.trim as a function of item and index took the index off the item's ends."""
+    rows = spark.createDataFrame([("TASK-220, 1TASK-x1 ,,12",)], "s string")
+    assert rows.select(cells.split_list(F.col("s"))).first()[0] == ["TASK-220", "1TASK-x1", "12"]

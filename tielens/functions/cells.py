@@ -49,4 +49,4 @@ def column_letter(index: int) -> str:
 
 def split_list(text: Column) -> Column:
     """Trimmed, non-blank items of a comma list."""
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")

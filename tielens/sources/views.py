@@ -120,7 +120,7 @@ FROM {{events}}""",
 SELECT 'T-' || CAST(event_id % 700 AS STRING) || CASE WHEN event_id % 2 = 0 THEN '' ELSE 'b' END AS thread_id, CAST(event_id AS INT) AS sheet_row,
     CASE WHEN event_id % 17 = 0 THEN 'de la' ELSE 'Mx Contact' || CAST(user_id AS STRING) || ', Person' || CAST(user_id AS STRING) END AS contact_name,
     CASE WHEN event_id % 45 = 2 THEN '' ELSE CAST(date_trunc('second', ts) AS STRING) END AS last_email_date, 'Subject ' || CAST(event_id % 40 AS STRING) AS subject
-FROM {events} WHERE event_type = 'click' AND event_id % 4 = 0""",
+FROM {events} WHERE event_type = 'click'""",
     "v_placeholders": """
 SELECT activity_id, sheet_row, ts_text, CASE WHEN sheet_row % 19 = 0 THEN ' - ' ELSE replace(contact_name, 'Contact ', 'Contact') END AS contact_name, body, note
 FROM {v_activity} WHERE channel = 'signup'""",
@@ -165,7 +165,7 @@ UNION ALL SELECT 'gone-' || CAST(c_custkey AS STRING), 'pending', '', '', '50',
     "v_recon": """
 SELECT CAST(row_number() OVER (ORDER BY task_id) AS INT) + 1 AS sheet_row, 'RECON-' || task_id AS recon_id, task_id || ', TASK-x' || CASE WHEN sheet_row % 2 = 0 THEN ',' || 'TASK-1' ELSE '' END AS source_task_ids,
     CASE WHEN sheet_row % 3 = 0 THEN 'STALE' ELSE 'STILL_OPEN' END AS verdict, CASE WHEN sheet_row % 4 = 0 THEN 'DONE' ELSE '' END AS status
-FROM {v_tasks} WHERE sheet_row % 5 = 0""",
+FROM {v_tasks}""",
     "v_segments": """
 SELECT 'S' || CAST(1 + p_partkey % 5 AS STRING) AS tab, CAST(p_partkey AS INT) AS sheet_row, CASE WHEN p_partkey % 13 = 0 THEN '' ELSE 'https://People.example/in/' || CAST(p_partkey % 90 AS STRING) || CASE WHEN p_partkey % 2 = 0 THEN '/' ELSE '' END END AS url,
     p_name AS name, p_brand AS segment, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE 'new' || CAST(p_partkey % 90 AS STRING) || '@acme.example' END AS email
