@@ -472,6 +472,68 @@ def test_html_keeps_inner_structure(inner, outer):
     assert html_text.main_text(page) == "\n".join(x for x in want if x)
 
 
+def _paragraphs(n, kind):
+    return "".join(f"<p>Paragraph {kind}{i} with a number of plain words in it, and some more of them to be long enough.</p>" for i in range(n))
+
+
+@pytest.mark.parametrize(
+    ("body", "blocks"),
+    [
+        (f"<div>{_paragraphs(6, 1)}</div><div>{_paragraphs(4, 2)}</div>", 10),
+        (f"<div><div>{_paragraphs(6, 1)}</div><div>{_paragraphs(4, 2)}</div></div>", 10),
+        (f"<article><h1>T</h1><section>{_paragraphs(6, 1)}</section><section>{_paragraphs(6, 2)}</section></article>", 13),
+        (f"<article><div>{_paragraphs(2, 1)}</div><div>{_paragraphs(6, 2)}</div></article>", 8),
+        (f"<article><h1>T</h1>{_paragraphs(3, 1)}<ul>" + "".join(f"<li>Item {i} with some more text in it, rather long, to be one of many items</li>" for i in range(20)) + "</ul></article>", 24),
+        ("<p title=don't>Some text here</p>", 1),
+        (f"<article><p title='the hidden valley'>One two three.</p>{_paragraphs(3, 1)}</article>", 4),
+        (f"<div id='foot'>{_paragraphs(3, 1)}</div>", 3),
+        (f"<div class='related-work'>{_paragraphs(3, 1)}</div>", 3),
+        (f"<div class='copyright-law'>{_paragraphs(3, 1)}</div>", 3),
+        (f"<form><article>{_paragraphs(5, 1)}</article><input><button>Send</button></form>", 5),
+        (f"<div class='cookie-banner'>{_paragraphs(1, 1)}</div><article>{_paragraphs(5, 2)}</article><div class='comments-list'>{_paragraphs(6, 3)}</div><div id=site-footer>{_paragraphs(1, 4)}</div><div hidden>{_paragraphs(9, 5)}</div>", 5),
+        ("<p title=\"a>b\">x</p><p a='>'>y</p><p class=>z</p>", 3),
+        ("<p title=\"abc>x</p><p>y", 2),
+    ],
+)
+def test_html_layouts(body, blocks):
+    links = "<ul>" + "".join(f"<li><a href='/x{i}'>Menu link {i}</a></li>" for i in range(8)) + "</ul>"
+    got = html_text.main_text(f"<html><body><nav>{links}</nav>{body}<footer>foot</footer></body></html>")
+    assert got.count("\n") + 1 == blocks
+
+
+def _tree_sums(page):
+    """Of each visible node, by plain recursion: (tag, chars, tags, density, sum of the block children's densities)."""
+    import math
+
+    def text(n):
+        return sum(len(re.sub(r"\s+", " ", p).strip()) if isinstance(p, str) else text(p) for p in n.parts if isinstance(p, str) or not p.hidden)
+
+    def below(n):
+        return [x for p in n.parts if not isinstance(p, str) and not p.hidden for x in [p, *below(p)]]
+
+    def linked(n):
+        return text(n) if n.tag == "a" else sum(linked(p) for p in n.parts if not isinstance(p, str) and not p.hidden)
+
+    root = html_text.parse(page)
+
+    def density(n):
+        c, t, lc, lt = text(n), max(len(below(n)), 1), linked(n), sum(x.tag == "a" for x in below(n))
+        base = math.log(c / max(c - lc, 1) * lc + linked(root) / max(text(root), 1) * c + math.e)
+        return c / t * math.log(max(c * t / (max(lc, 1) * max(lt, 1)), 1)) / base if c else 0.0
+
+    return {id(n): (n.tag, text(n), len(below(n)), density(n), sum(density(p) for p in n.parts if not isinstance(p, str) and not p.hidden and p.tag in html_text.BLOCK)) for n in [root, *below(root)]}, root
+
+
+def test_html_densities_by_recursion(spark):
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").limit(20).collect()]
+    pages.append("<body><div><a href=x>one</a> two <b>three</b></div><div>four <a href=y>five <i>six</i></a><p>seven</div><a href=z>eight</a></body>")
+    for page in pages:
+        html_text.measure(root := html_text.parse(page))
+        want, _ = _tree_sums(page)
+        got = [(n.tag, n.chars, n.tags, round(n.density, 6), round(n.total, 6)) for n in html_text._ordered(root)]
+        assert sorted(got) == sorted((a, b, c, round(d, 6), round(e, 6)) for a, b, c, d, e in want.values())
+
+
 def test_html_table_edges(spark):
     rows = spark.createDataFrame([(1, None, None), (1, "u", "<p>a"), (None, "u", "<p>" + "a " * 50000)], "page_id int, url string, html string").withColumn("text", F.lit(1))
     assert sorted(r.n_chars for r in html_text.extract(rows).collect()) == [0, 1, 99999]

@@ -1,11 +1,12 @@
 """HTML extraction by composite text density.
 
 A page becomes a tree; parts that never hold article text (scripts, menus, headers, footers, sidebars, adverts, forms,
-notices, reader comments) are taken out. Every node gets its composite text density: characters per tag, adjusted by
+notices, reader comments) are taken out by their tags and by names that say so as a whole. Every node gets its composite text density: characters per tag, adjusted by
 how much of them are links and how that compares with the whole body. A node's density sum adds its children's
 densities. The node with the largest sum leads to the content; the least density on its path from the body is the
 threshold, and every subtree with at least that density, reached from the body through such subtrees, gives its node of
-largest sum as content. A node below the body that holds several of these is content as a whole; of the body's children,
+largest sum as content. Beside that path (of the body's children those with several tags), blocks count as dense by their
+characters outside links per tag too, a measure that doesn't grow with a node's size. A node below the body that holds several of these is content as a whole; of the body's children,
 those between the first and the last that hold some are, unless most of their text is links. Headings before content,
 beside it or beside what holds it, belong to it.
 
@@ -36,17 +37,21 @@ BLOCK = frozenset(
 CLOSES_P = BLOCK - {"html", "body", "td", "th", "tr", "thead", "tbody", "tfoot", "caption", "dt", "dd", "li"} | {"form", "nav", "header", "footer", "aside", "fieldset", "menu"}
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table html body div article section main aside nav header footer form".split())
-#: Words of class, id and role attributes that mark what is not the article.
+#: Words of class, id and role names that mark what is not the article.
 ASIDE = frozenset(
-    "ad ads advert adverts advertisement advertising banner banners sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs sidebar aside rail header masthead footer foot comment comments disqus respond replies cookie cookies consent notice notices gdpr newsletter subscribe subscription signup login popup modal overlay share sharing social related recommended widget pagination pager toolbar form search copyright".split()
+    "ad ads advert adverts advertisement advertising banner banners sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs sidebar aside rail masthead footer comments disqus respond replies cookie cookies consent gdpr newsletter subscribe subscription signup login popup modal share sharing social related recommended pagination pager toolbar search copyright".split()
+)
+#: Words that mark it only as a whole name or among the others.
+VAGUE = frozenset("header comment notice notices form overlay widget".split())
+#: Words that change nothing beside them: place, container, kind of content.
+BESIDE = frozenset(
+    "area articles bar block bottom box button buttons container content contents cookies div global group icons inner item items left legal level links list main message network outer overlay page panel policy post posts primary right row section secondary site slot space stories text thread title top unit wrap wrapper".split()
 )
-#: Of these, the ones that a content word beside them overrules.
-WEAK = frozenset("header masthead rail form search social share sharing toolbar notice notices banner banners related recommended widget".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
-CONTENT = frozenset("article content post main body entry story text".split())
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_GONE = re.compile(r"(?:^|\s)hidden(?=[\s=]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+# A quote opens a value only after "=".
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NONE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _WORD = re.compile(r"[a-z]+")
 _WHITE = re.compile(r"\s+")
 
@@ -58,13 +63,24 @@ class Node:
         self.tag, self.parent, self.parts, self.hidden = tag, parent, [], hidden
 
 
+def _marks(name: str) -> bool:
+    """Whether a class, id or role name as a whole says that something isn't the article."""
+    words = _WORD.findall(name)
+    if not words or ASIDE.isdisjoint(words) and VAGUE.isdisjoint(words):
+        return False
+    return all(w in ASIDE or w in VAGUE or w in BESIDE for w in words)
+
+
 def _aside(tag: str, attributes: str) -> bool:
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
-    if _GONE.search(attributes):
-        return True
-    words = {w for a, b, c in _MARK.findall(attributes) for w in _WORD.findall((a or b or c).lower())} if "=" in attributes else set()
-    return not ASIDE.isdisjoint(words - WEAK if words & CONTENT else words)
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _NONE.search(value):
+            return True
+        if name in ("class", "id", "role") and any(map(_marks, value.lower().split())):
+            return True
+    return False
 
 
 def parse(page: str) -> Node:
@@ -115,6 +131,11 @@ def parse(page: str) -> Node:
             gt = page.find(">", close.start()) if close else -1
             at = gt + 1 if gt >= 0 else end
             continue
+        if name in ("article", "main"):  # what holds the article isn't beside it: a form around the page, a name that says too little
+            n = here
+            while n is not root:
+                n.hidden = n.hidden and n.tag != "form" and n.tag in HIDDEN
+                n = n.parent
         here = node
     return root
 
@@ -142,7 +163,7 @@ def measure(root: Node) -> list[Node]:
         n.link_chars, n.total = 0, 0.0
     for n in reversed(nodes):
         if n.tag == "a":
-            n.link_chars, n.link_tags = n.chars, n.tags
+            n.link_chars = n.chars
         if n.parent is not None:
             up = n.parent
             up.chars += n.chars
@@ -162,6 +183,11 @@ def measure(root: Node) -> list[Node]:
     return nodes
 
 
+def _plain(n: Node) -> float:
+    """Characters outside links per tag."""
+    return (n.chars - n.link_chars) / max(n.tags, 1)
+
+
 def content(root: Node) -> list[Node]:
     """The content subtrees, in page order."""
     nodes = measure(root)
@@ -170,10 +196,10 @@ def content(root: Node) -> list[Node]:
     best = max(nodes, key=lambda n: n.total)
     if not best.total:
         return [body]
-    threshold, n, path = best.density, best, set()
+    threshold, plain, n, path = best.density, _plain(best), best, set()
     while n is not None:
         path.add(id(n))
-        threshold, n = min(threshold, n.density), None if n is body else n.parent
+        threshold, plain, n = min(threshold, n.density), min(plain, _plain(n)), None if n is body else n.parent
     if id(body) not in path:
         body = root
     top: dict[int, Node] = {}
@@ -184,7 +210,8 @@ def content(root: Node) -> list[Node]:
     chosen, stack = set(), [body]
     while stack:
         n = stack.pop()
-        if n.density >= threshold and id(n) not in chosen:
+        beside = n.tag in BLOCK and n.parent is not None and id(n.parent) in path and (n.parent is not body or n.tags > 1)
+        if (n.density >= threshold or beside and 0 < plain <= _plain(n)) and id(n) not in chosen:
             chosen.add(id(top[id(n)]))
             stack += _children(n)
     holders: dict[int, int] = {}
