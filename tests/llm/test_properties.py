@@ -67,3 +67,22 @@ def test_more_pieces_than_the_table():
     for text in ("a b", " ".join(f"w{i}" for i in range(50)), "a b c d e", "x"):
         ids, _ = small.encode([text.encode()])
         assert ids.tolist() == small.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_encoder_knows_the_classes_of_characters():
+    texts = [f"a{c}b {c} 1{c}.{c}{c}\n{c}  x{c}" for c in map(chr, range(1, 0x500))]
+    ids, counts = _encoder.encode([t.encode() for t in texts])
+    want = [e.ids for e in _encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert counts.tolist() == list(map(len, want)) and ids.tolist() == [x for w in want for x in w]
+
+
+mixed = st.text(st.sampled_from("aBéß×÷Жяӿ҂ſ中’'23²½ª!.$_ \t\n\r\x00\x7f\x85 "), max_size=60)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(mixed, st.lists(st.sampled_from(["don't", "'s", " ", "  ", "\n", "<|endoftext|>", "l" * 30, "é" * 20, "x"]), max_size=12).map("".join)), max_size=6))
+def test_encoder_on_mixed_classes(texts):
+    for enc in (_encoder, tokens.Encoder(tokens.default_path(), 4) if len(texts) == 2 else _encoder):
+        ids, counts = enc.encode([t.encode() for t in texts])
+        want = [_encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == [x for w in want for x in w]
