@@ -37,6 +37,14 @@ def grouped_join(rows: DataFrame, groups: DataFrame, on: list[str], size: str, t
     return hot.unionByName(rest)
 
 
+def unused(rows: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``rows`` has."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 # ---- Python workers ----
 
 

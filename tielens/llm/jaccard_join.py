@@ -4,19 +4,23 @@ A document's tokens are its distinct shingles of five words; documents link when
 least NUM/DEN. Equal sets are one class, and classes stand for their documents. Tokens are in one global order: first
 those of a fixed half of the hash space by (document frequency, hash), then the rest by hash. In that order two linked
 sets share a token of their prefixes. Tokens that one class has alone can't be shared, so a class whose prefix is full
-of them is done. For the others, each rare token of the prefix is a signature. Frequent tokens of smaller sets extend
-the prefix by one token and are indexed as combinations of two; for larger sets (where combinations would be too many)
-as single tokens, and sets near the border take part in both, so that no link is lost.
+of them is done. For the others, each rare token of the prefix is a signature. For frequent tokens the prefix is extended
+by g tokens, of which linked sets share g + 1; the tokens fall into g groups by hash, so two of the shared ones fall into
+one, and the pairs within groups are the signatures. g follows from a set's size class, so a set has a few signatures for
+each token of its prefix, whatever its size; sets near the border of a class take part in both.
 
 Classes that signatures tie together are a cluster; its sets meet in blocks of bounded size and are compared there whole
-(intersections of 64-bit shingle hashes), so no pairs are emitted but the links found. Blocks of a cluster are compared
-with each other only while the cluster isn't one component. Frequencies come from sorted postings of tasks; a token that
-a task sees in many classes is declared frequent there, so no task gathers all postings of a hot token.
+(intersections of 64-bit shingle hashes), so no pairs are emitted but the links found. Clusters of one block are done
+then. In a larger one its smallest class visits all blocks; only if that doesn't make it one component, the rest of it is
+compared: a class whose tokens that nobody else in the cluster has leave too little to share with sets of its own size
+or larger can't link with another such class, so only the others meet all, by cluster or by signature, whichever is less
+work. Frequencies come from sorted postings of tasks; a token that a task sees in many classes is declared frequent
+there, so no task gathers all postings of a hot token.
 
 Defined results: null and empty texts, and texts without words, have no set, link with nothing and are their own
 component. Fewer than five words make one shingle. Repeated rows are equal sets. A component's id is the smallest
-document id in it (null ids don't count unless there is no other). An empty table gives an empty result. Other columns
-are ignored; whole texts are read.
+document id in it (null ids don't count unless there is no other). Ids are long integers; other ids must be mapped to
+such first. An empty table gives an empty result. Other columns are ignored, whatever their names; whole texts are read.
 """
 
 from __future__ import annotations
@@ -28,17 +32,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import landed
-from .common import grouped_join, keyed_filter, lean, mix, runs, word_hashes
+from ..sources.shared import forget, landed
+from .common import grouped_join, keyed_filter, lean, mix, runs, unused, word_hashes
 
 WORDS, NUM, DEN = 5, 75, 100
-#: Document frequency up to which a token is rare; sets up to PAIR_SIZE index frequent tokens in pairs.
-RARE, PAIR_SIZE = 64, 48
+#: Document frequency up to which a token is rare; sizes of a set for each group of frequent tokens.
+RARE, PER_GROUP = 64, 16
 #: Classes of a task from which it declares a token frequent.
 LOCALLY_FREQUENT = 256
 FREQUENT, BEHIND = 65535, 65536
-#: Sets that are compared with each other in one go.
-BLOCK = 256
+#: Sets, and tokens of sets, that are compared with each other in one go.
+BLOCK, BLOCK_TOKENS = 256, 400_000
 _TIMES = np.random.default_rng(5).integers(1, 2**63, WORDS + 1, dtype=np.uint64) | np.uint64(1)
 _HALF = np.uint64(1 << 63)
 _CUT = np.uint64(16)
@@ -78,14 +82,32 @@ def prefix_size(n: int) -> int:
     return n - -(-NUM * n // DEN) + 1
 
 
+def groups_of(n: int) -> int:
+    """Groups of frequent tokens, by which the prefix is extended, of the size class of n."""
+    return max(1, (1 << n.bit_length() - 1) // PER_GROUP)
+
+
+def group_numbers(n: int) -> set[int]:
+    """Those of the classes in which a set of n meets linked sets; the larger set's class counts."""
+    return {groups_of(n), groups_of(n * DEN // NUM)}
+
+
+def cut_size(tokens: np.ndarray) -> int:
+    """Distinct tokens as postings hold them, of sorted ones."""
+    cut = tokens >> _CUT
+    return int((cut[1:] != cut[:-1]).sum()) + (len(cut) > 0)
+
+
 def _digest(docs: DataFrame) -> DataFrame:
+    """(doc_id, hash, n, low, cls) of ``docs(doc_id, hash, text)``; low: tokens in the first half, as postings hold them."""
+
     def run(batches):
         for b in batches:
-            found = [(len(s), int((s < _HALF).sum()), class_of(s) if len(s) else None) for s in sets_of(b.column(1))]
+            found = [(len(s), cut_size(s[: np.searchsorted(s, _HALF)]), class_of(s) if len(s) else None) for s in sets_of(b.column(2))]
             n, low, cls = zip(*found, strict=True) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(low, pa.int64()), pa.array(cls, pa.int64())], ["doc_id", "n", "low", "cls"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(low, pa.int64()), pa.array(cls, pa.int64())], ["doc_id", "hash", "n", "low", "cls"])
 
-    return docs.mapInArrow(lean(run), "doc_id long, n long, low long, cls long")
+    return docs.mapInArrow(lean(run), "doc_id long, hash long, n long, low long, cls long")
 
 
 # ---- postings ----
@@ -164,7 +186,7 @@ def _postings(docs: DataFrame, buckets: int, groups: int) -> DataFrame:
                     continue
                 seen.add(c)
                 low = int((s < _HALF).sum())
-                s = s[: max(low, min(n, prefix_size(n) + 1))]
+                s = s[: max(low, min(n, prefix_size(n) + max(group_numbers(n))))]
                 tokens.append(s)
                 owners.append(np.full(len(s), len(classes), np.int32))
                 classes.append(c)
@@ -209,6 +231,21 @@ def _frequencies(postings: DataFrame, groups: int) -> DataFrame:
     return postings.groupBy("bucket").applyInArrow(lean(run), "g int, blob binary")
 
 
+def _pairs_within(token: np.ndarray, groups: int) -> np.ndarray:
+    """Signatures of the pairs of tokens that fall into one of the groups."""
+    token = np.sort(token)
+    group = (mix(token) % np.uint64(groups)).astype(np.int64)
+    order = np.argsort(group, kind="stable")
+    token, group = token[order], group[order]
+    out = [token[:0]]
+    for d in range(1, len(token)):
+        both = np.flatnonzero(group[d:] == group[:-d])
+        if not len(both):
+            break
+        out.append(mix(token[both] * _TIMES[3] + token[both + d] * _TIMES[4] + np.uint64(groups)))
+    return np.concatenate(out)
+
+
 def signatures_of(n: int, low: int, token: np.ndarray, df: np.ndarray) -> np.ndarray:
     """Signatures of a set of n tokens, ``low`` of them in the first half of the hash space.
 
@@ -223,13 +260,9 @@ def signatures_of(n: int, low: int, token: np.ndarray, df: np.ndarray) -> np.nda
     behind = token[~front]
     out = [mix(token[: min(need, rare)] * _TIMES[1])]
     if need > rare:
-        single, double = (np.concatenate((token[rare : min(k, len(token) - len(behind))], behind if low < alone + k else behind[:0])) for k in (need, need + 1))
-        if n > PAIR_SIZE:
-            out.append(mix(single * _TIMES[2]))
-        if n * NUM <= PAIR_SIZE * DEN:
-            double = np.sort(double)
-            i, j = np.triu_indices(len(double), 1)
-            out.append(mix(double[i] * _TIMES[3] + double[j] * _TIMES[4]))
+        for g in sorted(group_numbers(n)):
+            k = need + g
+            out.append(_pairs_within(np.concatenate((token[rare : min(k, len(token) - len(behind))], behind if low < alone + k else behind[:0])), g))
     return np.concatenate(out)
 
 
@@ -279,7 +312,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = grouped_join(both.filter("v > u"), least, ["u"], "k", max(2 * edges.count(), 1)).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
-        edges = landed(hung.filter("u <> v").distinct(), "edges")
+        before, edges = edges, landed(hung.filter("u <> v").distinct(), "edges")
+        forget(before)
     return edges
 
 
@@ -340,19 +374,64 @@ def _links(rows: DataFrame) -> DataFrame:
     return rows.groupBy("task").applyInArrow(lean(run), "u long, v long")
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) for each document."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def _units(members: DataFrame, tasks_by: int) -> DataFrame:
+    """Rows (task, sc, i, j, cls, b) that bring together what may link in each ``sc`` of ``members(sc, cls, n, tight)``.
+
+    Blocks of tight classes come first and meet all blocks; blocks of others meet those.
+    """
+    sizes = members.groupBy("sc").agg(*(F.ceil(F.greatest(F.count_if(c) / BLOCK, F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)) / BLOCK_TOKENS)).cast("int").alias(k) for k, c in (("t", F.col("tight")), ("l", ~F.col("tight")))), F.count(F.lit(1)).alias("m"))
+    sized = grouped_join(members, sizes, ["sc"], "m", max(members.count(), 1))
+    sized = sized.withColumn("b", F.when(F.col("tight"), F.pmod(F.xxhash64("cls"), F.col("t"))).otherwise(F.col("t") + F.pmod(F.xxhash64("cls"), F.col("l"))).cast("int"))
+    others = F.sequence(F.lit(0), F.when(F.col("tight"), F.col("t") + F.col("l")).otherwise(F.col("t")) - 1)
+    met = sized.filter("t > 0").withColumn("o", F.explode(others)).withColumns({"i": F.least("b", "o"), "j": F.greatest("b", "o")})
+    task = F.when(F.col("t") + F.col("l") == 1, F.pmod(F.xxhash64("sc"), F.lit(tasks_by))).otherwise(F.xxhash64("sc", "i", "j"))
+    return met.withColumn("task", task).select("task", "sc", "i", "j", "cls", "b")
+
+
+def _wide(members: DataFrame, sigs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Units of clusters that aren't one component yet; ``members(sc, cls, n, root)``.
+
+    m tokens of a class are shared with another class of the cluster; it can link with sets of up to ``most`` tokens. A
+    class is tight if that is its own size at least; of two linked classes one is.
+    """
+    owned = members.select("sc", "cls").join(sets, "cls").select("sc", "cls", F.explode("tokens").alias("token"))
+    own = owned.groupBy("sc", "token").agg(F.min("cls").alias("cls"), F.max("cls").alias("last")).filter("cls = last").groupBy("cls").agg(F.count(F.lit(1)).alias("own"))
+    members = members.join(own, "cls", "left").withColumn("most", F.floor((F.col("n") - F.coalesce("own", F.lit(0))) * (NUM + DEN) / NUM) - F.col("n"))
+    members = landed(members.withColumn("tight", F.col("most") >= F.col("n")).select("sc", "cls", "n", "root", "most", "tight"), "wide")
+
+    # By signature: those with several roots and a tight class; classes that fit none of its tight ones stay out.
+    signed = sigs.join(members, "cls")
+    stats = [F.count(F.lit(1)).alias("k"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.when(F.col("tight"), F.col("n"))).alias("small"), F.max(F.when(F.col("tight"), F.col("most"))).alias("large")]
+    groups = signed.groupBy("sig").agg(*stats).filter("lo <> hi and small is not null")
+    fit = grouped_join(signed, groups, ["sig"], "k", max(sigs.count(), 1)).filter("k is not null and (tight or small <= most and n <= large)")
+    fit = landed(fit.select("sig", "sc", "cls", "n", "tight"), "fit")
+    same = fit.groupBy("sig", "sc").agg(F.count(F.lit(1)).alias("k"), F.count_if("tight").alias("t"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"))
+    once = same.groupBy("sc", "k", "t", "x", "y").agg(F.min("sig").alias("sig")).filter("k > 1 and t > 0")  # signatures of the same classes count once
+    once = landed(once, "once")
+    work = F.sum(F.col("k") * F.ceil(F.col("t") / BLOCK))
+    by_sig = once.groupBy("sc").agg(work.alias("by_sig"))
+    by_all = members.groupBy("sc").agg(F.count(F.lit(1)).alias("k"), F.count_if("tight").alias("t")).filter("t > 0").groupBy("sc").agg(work.alias("by_all"))
+    whole = landed(by_all.join(by_sig, "sc").filter("by_all <= by_sig").select("sc"), "whole")
+    all_of = keyed_filter(members, whole, ["sc"], "left_semi").select("sc", "cls", "n", "tight")
+    parts = keyed_filter(once.select("sig", "sc", "k"), whole, ["sc"], "left_anti").select("sig", F.col("k").alias("size"))
+    some_of = grouped_join(fit, parts, ["sig"], "size", max(fit.count(), 1)).filter("size is not null").select(F.col("sig").alias("sc"), "cls", "n", "tight")
+    rows = landed(all_of.unionByName(some_of), "meet")
+    return _units(rows, 1 + (rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // BLOCK_TOKENS)
+
+
+def _joined(docs: DataFrame) -> DataFrame:
+    """(doc_id, hash, n, component_id, root) for each row of ``docs(doc_id, hash, text)``; root: of the component's class."""
     digest = landed(_digest(docs), "shingles")
     total, tokens = digest.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     classes = digest.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("low").alias("low"), F.count(F.lit(1)).alias("size"))
     classes = landed(classes, "classes")
     buckets = 1 << max(5, (tokens // 2_000_000).bit_length())
     groups = 1 << max(5, (total // 12_000).bit_length())
-    shared = _frequencies(_postings(docs, buckets, groups), groups)
-    sigs = landed(_signatures(shared, classes.filter("n > 1"), groups), "signatures")
-    counts = sigs.groupBy("sig").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-    sigs = landed(grouped_join(sigs, counts, ["sig"], "k", max(sigs.count(), 1)).filter("k > 1").select("sig", "cls").distinct(), "signed")
+    shared = _frequencies(_postings(docs.select("doc_id", "text"), buckets, groups), groups)
+    first = landed(_signatures(shared, classes.filter("n > 1"), groups), "signatures")
+    counts = first.groupBy("sig").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    sigs = landed(grouped_join(first, counts, ["sig"], "k", max(first.count(), 1)).filter("k > 1").select("sig", "cls").distinct(), "signed")
+    forget(first)
 
     reps = sigs.select("cls").distinct().join(classes, "cls").select(F.col("rep").alias("doc_id")).filter("doc_id is not null").distinct()
     unnamed = classes.filter("rep is null").select("cls")
@@ -370,7 +449,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             offsets = np.concatenate(([0], np.cumsum([len(r[1]) for r in rows]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["cls", "tokens"])
 
-    chosen = keyed_filter(docs, landed(reps, "reps"), ["doc_id"], "left_semi").select("text")
+    chosen = keyed_filter(docs.select("doc_id", "text"), landed(reps, "reps"), ["doc_id"], "left_semi").select("text")
     if not unnamed.isEmpty():
         chosen = chosen.unionByName(docs.filter("doc_id is null").select("text"))
     sets = landed(chosen.mapInArrow(lean(tokenise), "cls long, tokens array<long>"), "sets")
@@ -380,11 +459,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     ties = grouped_join(sigs.select("sig", F.col("cls").alias("u")), heads, ["sig"], "many", max(sigs.count(), 1)).select("u", "v").distinct()
     clusters = components(ties)
     clusters = clusters.unionByName(clusters.select(F.col("v").alias("u"), "v").distinct()).select(F.col("u").alias("cls"), F.col("v").alias("sc"))
-    sizes = clusters.groupBy("sc").agg(F.count(F.lit(1)).alias("m"))
-    count = clusters.count()
-    members = grouped_join(clusters, sizes, ["sc"], "m", max(count, 1)).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+    clusters = landed(clusters.join(classes.select("cls", "n"), "cls"), "clusters")
+    count, held = clusters.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    sizes = clusters.groupBy("sc").agg(F.count(F.lit(1)).alias("m"), F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_TOKENS)).cast("int").alias("blocks"))
+    members = grouped_join(clusters, sizes, ["sc"], "m", max(count, 1))
     members = landed(members.withColumn("b", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")), "members")
-    tasks = 1 + count // 1000
+    tasks = 1 + max(count // 1000, held // BLOCK_TOKENS)
     task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("sc"), F.lit(tasks))).otherwise(F.xxhash64("sc", "i", "j"))
     shown = ["task", "sc", "i", "j", "cls", "b", "tokens"]
 
@@ -397,29 +477,51 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     wide = members.filter("blocks > 1")
     if not wide.isEmpty():
         roots = components(links).select(F.col("u").alias("cls"), F.col("v").alias("root"))
-        wide = wide.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-        loose = wide.groupBy("sc").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sc")
-        wide = keyed_filter(wide, landed(loose, "loose"), ["sc"], "left_semi")
-        pairs = wide.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("o <> b")
-        pairs = pairs.withColumns({"i": F.least("b", "o"), "j": F.greatest("b", "o")}).withColumn("task", task)
-        links = links.unionByName(landed(_links(pairs.join(sets, "cls").select(*shown)), "links"))
+        wide = wide.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls")).select("sc", "cls", "n", "root")
+        loose = landed(wide.groupBy("sc").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sc"), "loose")
+        if not loose.isEmpty():
+            units = _wide(keyed_filter(wide, loose, ["sc"], "left_semi"), sigs, sets)
+            links = links.unionByName(landed(_links(units.join(sets, "cls").select(*shown)), "links"))
     stars = components(links)
 
     rooted = classes.join(stars.select(F.col("u").alias("cls"), F.col("v").alias("root")), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("many"))
-    named = landed(grouped_join(rooted, least, ["root"], "many", total).select("cls", "size", "component_id"), "named")
+    named = landed(grouped_join(rooted, least, ["root"], "many", total).select("cls", "size", "component_id", "root"), "named")
     met = grouped_join(digest.filter("n > 0"), named, ["cls"], "size", total)
-    alone = digest.filter("n = 0").withColumn("component_id", F.col("doc_id"))
-    columns = [F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id"]
+    alone = digest.filter("n = 0").withColumns({"component_id": F.col("doc_id"), "root": F.lit(None).cast("long")})
+    columns = ["doc_id", "hash", "n", "component_id", "root"]
     return met.select(*columns).unionByName(alone.select(*columns))
 
 
+def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text"))
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id) for each document."""
+    return _joined(_named(docs, id_col, text_col)).select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id; columns unchanged.
+    """``docs`` with one row of each component, that of the smallest id (a null id comes last); columns unchanged.
 
-    Rows that share an id share its fate; rows without an id stay.
+    Rows are told apart by id and text: of rows that agree in both, any one stays.
     """
-    found = join(docs, id_col, text_col)
-    gone = landed(found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).cast("long").alias("__id")).distinct(), "gone")
-    out = keyed_filter(docs.withColumn("__id", F.col(id_col).cast("long")), gone, ["__id"], "left_anti")
-    return out.select(*docs.columns)
+    found = landed(_joined(_named(docs, id_col, text_col)).filter("root is not null").select("root", "doc_id", "hash"), "joined")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "hash")
+    picks = found.groupBy("root").agg(F.min(order).alias("pick"), F.count(F.lit(1)).alias("many")).filter("many > 1")
+    grouped = grouped_join(found, picks, ["root"], "many", max(found.count(), 1)).filter("pick is not null")
+    kept = (F.col("doc_id").eqNullSafe(F.col("pick.doc_id"))) & (F.col("hash") == F.col("pick.hash"))
+    fate = grouped.groupBy(F.struct("doc_id", "hash").alias("key")).agg(F.max(kept).alias("kept"), F.count(F.lit(1)).alias("times"))  # in a struct, a null id is a key like others
+    fate = landed(fate, "fate")
+    name = unused(docs, "key")
+    text = F.col(text_col).cast("string")
+    keyed = docs.withColumn(name, F.struct(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash")))
+    gone = fate.filter("not kept").select(F.col("key").alias(name))
+    twins = fate.filter("kept and times > 1").select(F.col("key").alias(name))
+    out = keyed_filter(keyed, landed(gone, "gone"), [name], "left_anti")
+    if not twins.isEmpty():
+        twins = landed(twins, "twins")
+        out = keyed_filter(out, twins, [name], "left_anti").unionByName(keyed_filter(out, twins, [name], "left_semi").dropDuplicates([name]))
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
