@@ -216,6 +216,33 @@ def test_edited_items_are_found():
         assert found[j][0] == edits(items[j][1], text)
 
 
+@pytest.mark.parametrize("limits", [(4_000_000, 400_000), (300, 100)])
+def test_items_with_a_common_sentence(monkeypatch, limits):
+    """Items that share half of their text, at either end or in the middle; tables of any size give the same."""
+    for name, value in zip(("MOST_PAIRS", "MOST_CELLS"), limits, strict=True):
+        monkeypatch.setattr(decontaminate, name, value)
+    rng = random.Random(6)
+    word = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    common = word(12)
+    items = [(i, x.encode()) for i in range(60) for x in [(common + " " + word(12), word(12) + " " + common, word(6) + " " + common + " " + word(6), word(rng.randint(1, 6)))[i % 4]]]
+    index = decontaminate.Index(items)
+    chosen = [items[i][1].decode() for i in (0, 1, 2, 3, 7)]
+    damaged = [t[: len(t) // 3] + "#" + t[len(t) // 3 + 1 : -4] + "zz" + t[-4:] for t in chosen]
+    text = " ".join([common, word(5), *chosen[:2], common + " " + common, word(9), *damaged[2:], word(3)]).encode()
+    got = index.hits([text, common.encode()])
+    assert {j: found[0] for j, found in got[0].items()} == {j: e for j, (_, t) in enumerate(items) if (e := edits(t, text)) <= decontaminate.budget(len(t))}
+    assert {0, 1} <= set(got[0])
+    for found in got:
+        for j, (e, end, _) in found.items():
+            assert edits(items[j][1], text[max(end - len(items[j][1]) - e, 0) : end] if found is got[0] else common.encode()) == e
+
+
+def test_items_without_grams():
+    index = decontaminate.Index([(5, b"yes"), (6, b"no"), (7, b"yes"), (8, b"")])
+    assert [sorted(index.all[j][0] for j in x) for x in index.hits([b"yes", b"yes yes", b"", b"no"])] == [[5, 7], [], [], [6]]
+    assert all(decontaminate.budget(m) * decontaminate.Q < m - decontaminate.Q + 1 for m in range(decontaminate.Q, 3000))
+
+
 # ---- 5 token files ----
 
 

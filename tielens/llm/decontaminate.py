@@ -3,29 +3,36 @@
 A text region within ``k`` edits of an item of length m shares at least m - q + 1 - k*q of its q-grams, in diagonals
 that differ by at most k. Three filters follow from that, each lossless: (1) windows of a text with too few q-grams
 of any item fall away, by a bitmap over the whole buffer; (2) in the rest, q-grams shared with an item are counted in
-overlapping diagonal bands, and bands that miss the item's bound fall away; (3) the band is verified by alignment of
-the whole item with any part of the region.
+overlapping diagonal bands, and bands that miss the item's bound fall away; q-grams that many items have are counted for
+some items at a time, in tables of bounded size; (3) the bands left are verified by alignment of the whole item with any
+part of the region, many at once, from that end of the item whose q-grams fewer items have.
 
 Texts and items are compared as UTF-8 with A-Z lowered and white space (0x20, 0x09-0x0D) as single spaces. The edit
-budget of an item is ``RATE`` of its length. An item shorter than ``LEAST`` bytes counts only if it occurs unchanged;
-one shorter than ``Q`` bytes is no evidence of a leak and never matches.
+budget of an item of length m is ``RATE`` of it, but no more than leaves the lemma a bound: (m - q) / q. An item shorter
+than ``Q`` bytes has no q-gram; it matches a text that equals it.
 
-Defined results: null and empty texts match nothing. Repeated documents give repeated rows; repeated items count once
-each. Without items nothing matches. Whole texts are searched; other columns are ignored.
+Defined results: null and empty texts match nothing, nor do empty items. Repeated documents give repeated rows; repeated
+items count once each. Without items nothing matches. Whole texts are searched; other columns are ignored. Ids are long
+integers.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import lean, runs
+from .tokens import spread
 
-Q, RATE, LEAST = 8, 0.08, 40
+Q, RATE = 8, 0.08
 #: Bytes of items that one pass holds; a larger benchmark is searched for in several passes.
 PASS_BYTES = 8 << 20
+#: Shared q-grams that are counted, and table cells of alignments that are held, at a time (bounds memory, changes no result).
+MOST_PAIRS, MOST_CELLS = 4_000_000, 400_000
 _BITS = 23
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -48,35 +55,71 @@ def slot(g: np.ndarray) -> np.ndarray:
     return (g * _SPREAD >> np.uint64(64 - _BITS)).astype(np.int64)
 
 
-def align(item: bytes, text: bytes, low: int, high: int, k: int) -> tuple[int, int] | None:
-    """Least edits (at most ``k``) between the item and a part of ``text`` that starts at ``low`` to ``high``, and its end.
+def budget(m: int) -> int:
+    """Edits allowed in an item of m bytes."""
+    return min(int(RATE * m), (m - Q) // Q)
+
+
+def align(letters: np.ndarray, sizes: np.ndarray, k: int, text: bytes, low: np.ndarray, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each item (a column of ``letters``) the least edits between it and a part of ``text`` that starts at its ``low``
+    to ``low + high``, and its end.
 
-    Row i of the table holds text positions low - k + i to high + k + i: a band of diagonals.
+    More than ``k`` edits are given as k + 1. Row i of a table holds text positions low - k + i to low + high + k + i, a band
+    of diagonals; the tables of all items are filled together, and those without a way left are dropped.
     """
-    width = high - low + 2 * k + 1
+    width, longest = high + 2 * k + 1, int(sizes.max())
+    kind = np.int16 if longest + width < 30_000 else np.int32
     first = low - k
-    t = np.full(len(item) + width, 256, np.int64)
-    src = np.frombuffer(text, np.uint8)
-    a, b = max(first, 0), min(first + len(t), len(src))
-    t[a - first : b - first] = src[a:b]
+    begin, end = int(first.min()), int(first.max()) + longest + width
+    src = np.full(end - begin, 256, np.int16)  # no letter before and behind the text
+    x, y = min(max(begin, 0), len(text)), min(max(end, 0), len(text))
+    src[x - begin : y - begin] = np.frombuffer(text, np.uint8, y - x, x)
     steps = np.arange(width)
-    row = np.where((first + steps >= 0) & (first + steps <= len(src)), 0, k + 1)  # the item may start anywhere
-    for i, c in enumerate(item):
-        new = row + (t[i : i + width] != c)  # same diagonal
-        new[:-1] = np.minimum(new[:-1], row[1:] + 1)  # a byte of the item left out
-        row = np.minimum.accumulate(new - steps) + steps  # bytes of the text left out
-        if row.min() > k:
-            return None
-    best = int(row.argmin())
-    return (int(row[best]), first + len(item) + best) if row[best] <= k else None
+    at = first - begin
+    there = first[:, None] + steps
+    row = np.where((there >= 0) & (there <= len(text)), 0, k + 1).astype(kind)  # the item may start anywhere
+    views = np.lib.stride_tricks.sliding_window_view(src, width)
+    edits, ends = np.full(len(sizes), k + 1), np.zeros(len(sizes), np.int64)
+    live, slope = np.arange(len(sizes)), steps.astype(kind)
+    for i in range(longest):
+        new = row + (views[at + i] != letters[i, live][:, None])  # same diagonal
+        new[:, :-1] = np.minimum(new[:, :-1], row[:, 1:] + kind(1))  # a byte of the item left out
+        new -= slope
+        row = np.minimum.accumulate(new, axis=1)  # bytes of the text left out
+        row += slope
+        least = row.min(axis=1)
+        done = sizes[live] == i + 1
+        if done.any():
+            own = live[done]
+            edits[own] = np.minimum(least[done], k + 1)
+            ends[own] = first[own] + sizes[own] + row[done].argmin(axis=1)
+        go = ~done & (least <= k)
+        if not go.all():
+            live, row, at = live[go], row[go], at[go]
+            if not len(live):
+                break
+    return edits, ends
+
+
+def columns_of(items: list[bytes]) -> np.ndarray:
+    """Items as columns of their bytes."""
+    letters = np.full((max(map(len, items)), len(items)), 257, np.int16)
+    for i, item in enumerate(items):
+        letters[: len(item), i] = np.frombuffer(item, np.uint8)
+    return letters
 
 
 class Index:
     """The q-grams of normalised items."""
 
     def __init__(self, items: list[tuple[int, bytes]]):
-        self.items = [(i, t) for i, t in items if len(t) >= Q]
-        self.k = np.array([int(RATE * len(t)) if len(t) >= LEAST else 0 for _, t in self.items], np.int64)
+        self.whole: dict[bytes, list[int]] = {}
+        for i, (_, t) in enumerate(items):
+            if 0 < len(t) < Q:
+                self.whole.setdefault(t, []).append(i)
+        self.all, self.items = items, [x for x in items if len(x[1]) >= Q]
+        self.number = [i for i, x in enumerate(items) if len(x[1]) >= Q]
+        self.k = np.array([budget(len(t)) for _, t in self.items], np.int64)
         self.m = np.array([len(t) for _, t in self.items], np.int64)
         self.bound = np.maximum(self.m - Q + 1 - self.k * Q, 1)
         parts = [grams(t) for _, t in self.items] or [np.empty(0, np.uint64)]
@@ -87,6 +130,11 @@ class Index:
         self.gram, self.of, self.at = g[order], of[order], at[order]
         self.key, first = np.unique(self.gram, return_index=True)
         self.first = np.append(first, len(self.gram))
+        # whether an item's second half has the rarer q-grams
+        often = np.log(np.diff(self.first))[np.searchsorted(self.key, g)] if len(g) else g
+        side = 2 * at < self.m[of] - Q if len(g) else of
+        halves = [np.bincount(of[x], often[x], len(self.items)) / np.maximum(np.bincount(of[x], minlength=len(self.items)), 1) for x in (side, ~side)] if len(g) else [self.m, self.m]
+        self.backward = halves[1] < halves[0]
         self.bitmap = np.zeros(1 << _BITS, np.int8)
         self.bitmap[slot(self.key)] = 1
         # classes of items of like length: (window, least hits in it)
@@ -109,38 +157,101 @@ class Index:
         edges = np.flatnonzero(np.diff(np.concatenate(([0], inside.view(np.int8), [0]))))
         return edges.reshape(-1, 2)
 
-    def search(self, text: bytes, first: int, last: int) -> dict[int, tuple[int, int, int]]:
-        """Items found in a normalised text between q-gram positions: item number to (edits, end, shared q-grams)."""
+    def bands(self, text: bytes, first: int, last: int):
+        """Of a normalised text between q-gram positions: (items, bands, shared q-grams) that reach the items' bounds."""
         g = grams(text[first : last + Q - 1])
         where = np.searchsorted(self.key, g)
         where[where == len(self.key)] = 0
         at = np.flatnonzero(self.key[where] == g)
         lo, n = self.first[where[at]], self.first[where[at] + 1] - self.first[where[at]]
-        pair = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        item, diagonal = self.of[pair], first + np.repeat(at, n) - self.at[pair]
-        step = self.k[item] + 1
-        band = diagonal // step
+        step = self.k + 1
+        lowest, highest = (first - self.m) // step - 1, last // step
+        cells = highest - lowest + 1
+        total = int(n.sum())
+        if total <= MOST_PAIRS and (total < 1000 or int(cells.sum()) <= MOST_PAIRS):
+            groups = [(0, len(self.items))]
+        else:  # some items at a time: postings of a q-gram are in the order of items
+            held = np.bincount(self.of, np.bincount(where[at], minlength=len(self.key))[np.repeat(np.arange(len(self.key)), np.diff(self.first))], len(self.items))
+            number = np.cumsum(np.maximum(held, cells)) // MOST_PAIRS
+            edge = np.flatnonzero(np.diff(number, prepend=-1, append=np.inf))
+            groups = list(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True))
+        for x, y in groups:
+            if len(groups) == 1:
+                a, b = lo, lo + n
+                items = np.unique(self.of[spread(lo, n)])
+            else:
+                own = np.flatnonzero((self.of >= x) & (self.of < y))
+                a, b = np.searchsorted(own, lo), np.searchsorted(own, lo + n)
+                items = np.arange(x, y)
+            base = np.zeros(len(self.items), np.int64)
+            base[items] = np.cumsum(cells[items]) - cells[items]
+            shared = np.zeros(int(cells[items].sum()), np.int64)
+            ends = np.cumsum(b - a)
+            for i, j in _runs(ends, MOST_PAIRS):
+                size = b[i:j] - a[i:j]
+                pair = spread(a[i:j], size)
+                if len(groups) > 1:
+                    pair = own[pair]
+                item = self.of[pair]
+                diagonal = first + np.repeat(at[i:j], size) - self.at[pair]
+                shared += np.bincount(base[item] + diagonal // step[item] - lowest[item], minlength=len(shared))
+            # a run of diagonals that differ by at most k lies in band b or in the overlap of b - 1 and b
+            both = shared + np.append(shared[1:], 0)
+            item = np.repeat(items, cells[items])
+            good = np.flatnonzero((both >= self.bound[item]) & (shared > 0))  # without its first band the next one holds as many
+            item = item[good]
+            yield item, good - base[item] + lowest[item], both[good]
+
+    def search(self, text: bytes, first: int, last: int) -> dict[int, tuple[int, int, int]]:
+        """Items found in a normalised text between q-gram positions: item to (edits, end, shared q-grams)."""
         found: dict[int, tuple[int, int, int]] = {}
-        # a run of diagonals that differ by at most k lies in band b or in the overlap of b - 1 and b
-        keys = np.concatenate([item * (1 << 40) + (band + (1 << 20)), item * (1 << 40) + (band - 1 + (1 << 20))])
-        key, shared = np.unique(keys, return_counts=True)
-        number, band = key >> 40, (key & ((1 << 40) - 1)) - (1 << 20)
-        for i in np.lexsort((-shared,)):
-            j = int(number[i])
-            if shared[i] < self.bound[j] or j in found and found[j][0] == 0:
-                continue
-            own, k = self.items[j][1], int(self.k[j])
-            low = int(band[i]) * (k + 1)
-            high = low + 2 * (k + 1) - 1
-            begin = text.find(own, max(low - k, 0), max(high + k, 0) + len(own))
-            got = (0, begin + len(own)) if begin >= 0 else align(own, text, low, high, k) if k else None
-            if got and (j not in found or got[0] < found[j][0]):
-                found[j] = (*got, int(shared[i]))
+        for item, band, shared in self.bands(text, first, last):
+            most = {}
+            for j, n in zip(item.tolist(), shared.tolist(), strict=True):
+                most[j] = max(most.get(j, 0), n)
+            for j, n in most.items():
+                own = self.items[j][1]
+                begin = text.find(own, max(first - len(own), 0), last + Q + len(own))
+                if begin >= 0:
+                    found[j] = (0, begin + len(own), n)
+            left = (self.k[item] > 0) & ~np.isin(item, list(found))
+            for j, edits, end, n in self._verified(text, item[left], band[left] * (self.k[item[left]] + 1), shared[left]):
+                if j not in found or (edits, -n, end) < (found[j][0], -found[j][2], found[j][1]):
+                    found[j] = (edits, end, n)
         return found
 
+    def _verified(self, text: bytes, item: np.ndarray, low: np.ndarray, shared: np.ndarray):
+        """(item, edits, end, shared) of the candidates within their budgets; low: a band's first diagonal."""
+        if not len(item):
+            return
+        order = np.lexsort((low, item, self.m[item], self.backward[item], self.k[item]))
+        item, low, shared = item[order], low[order], shared[order]
+        kind = 2 * self.k[item] + self.backward[item]
+        text_back = b""
+        for a, b in itertools.pairwise([0, *(np.flatnonzero(np.diff(kind)) + 1).tolist(), len(item)]):
+            k, backward = int(self.k[item[a]]), bool(self.backward[item[a]])
+            most = max(1, MOST_CELLS // (4 * k + 2))
+            for x in range(a, b, most):
+                some = slice(x, min(x + most, b))
+                own, column = np.unique(item[some], return_inverse=True)
+                m = self.m[item[some]]
+                high = 2 * k + 1
+                if not backward:
+                    edits, ends = align(columns_of([self.items[j][1] for j in own])[:, column], m, k, text, low[some], high)
+                else:  # the item ends at low + m to low + high + m, give or take k
+                    text_back = text_back or text[::-1]
+                    edits, begins = align(columns_of([self.items[j][1][::-1] for j in own])[:, column], m, k, text_back, len(text) - (low[some] + high + m) - k, high + 2 * k)
+                for i in np.flatnonzero(edits <= k).tolist():
+                    j = int(item[x + i])
+                    if backward:  # where it ends follows from an alignment forward
+                        e, stop = align(columns_of([self.items[j][1]]), self.m[[j]], k, text, np.array([len(text) - int(begins[i])]), 0)
+                        yield j, int(e[0]), int(stop[0]), int(shared[x + i])
+                    else:
+                        yield j, int(edits[i]), int(ends[i]), int(shared[x + i])
+
     def hits(self, texts: list[bytes]):
         """For each text, what ``search`` finds in it. Texts are joined by a byte that no normalised item contains."""
-        out: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
+        out: list[dict[int, tuple[int, int, int]]] = [{i: (0, len(t), 0) for i in self.whole.get(t, ())} for t in texts]
         if not self.items:
             return out
         joined = b"\n".join(texts) + b"\n" * Q
@@ -152,11 +263,21 @@ class Index:
                 lo, hi = max(a - begins[d], 0), min(b - begins[d], len(texts[d]) - Q + 1)
                 if hi > lo:
                     for j, got in self.search(texts[d], int(lo), int(hi)).items():
+                        j = self.number[j]
                         if j not in out[d] or got[0] < out[d][j][0]:
                             out[d][j] = got
         return out
 
 
+def _runs(ends: np.ndarray, most: int):
+    """Runs of rows with about ``most`` in all, by their running total."""
+    i, done = 0, 0
+    while i < len(ends):
+        j = max(i + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield i, j
+        i, done = j, int(ends[j - 1])
+
+
 def _passes(benchmark: DataFrame, id_col: str, text_col: str):
     """Items in parts of bounded size."""
     rows = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
@@ -188,7 +309,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                 ids, rows = b.column(0).to_pylist(), []
                 for a, texts in _batches(b.column(1)):
                     for d, got in enumerate(index.hits(texts)):
-                        rows += [(ids[a + d], index.items[j][0], e, end, n, len(index.items[j][1])) for j, (e, end, n) in got.items()]
+                        rows += [(ids[a + d], index.all[j][0], e, end, n, len(index.all[j][1])) for j, (e, end, n) in got.items()]
                 columns = list(zip(*rows, strict=True)) or [()] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [f.split()[0] for f in FOUND.split(", ")])
 
