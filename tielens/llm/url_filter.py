@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import landed
 from .common import BROADCAST_ROWS, grouped_join
 
 #: (verdict, rule): host, then the path's beginning.
@@ -77,9 +78,9 @@ def judge(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url_col:
         rule, verdict = F.when(fits, F.lit(text)).otherwise(rule), F.when(fits, F.lit(said)).otherwise(verdict)
     rows = rows.withColumn("rule", rule).withColumn("said", verdict)
 
-    unique = listed.select("canonical").filter(F.col("canonical").isNotNull()).distinct()
+    unique = landed(listed.select("canonical").filter(F.col("canonical").isNotNull()).distinct(), "listed")
     blocks = 1 << max(4, (unique.count() // KEYS_PER_BLOCK).bit_length())
-    marked = possible(rows, "canonical", bloom_blocks(unique, "canonical", blocks), blocks)
+    marked = landed(possible(rows, "canonical", bloom_blocks(unique, "canonical", blocks), blocks), "marked")  # pages are read once
     hits = marked.filter("possible")
     asked = hits.groupBy("canonical").agg(F.count(F.lit(1)).alias("n"))
     confirmed = asked.join(unique, "canonical", "left_semi").withColumn("hit", F.lit(True))
