@@ -22,7 +22,7 @@ EDGES = [(1, None, None, None, None), (2, "", "en", "s", 0), (3, " \t\n", "en",
 @pytest.fixture(scope="module")
 def edges(spark):
     rows = spark.createDataFrame(EDGES, SCHEMA)
-    clash = {c: F.lit(7) for c in ("cls", "fp", "sha", "row", "task", "b", "key", "ref", "n", "kept", "score", "held_out")}
+    clash = {c: F.lit(7) for c in ("key", "chars", "hash", "sha_", "__id", "__sha", "__n", "root", "cls", "fp", "sha", "row", "task", "b", "ref", "n", "kept", "score", "held_out")}
     return rows.withColumns(clash)
 
 
@@ -362,6 +362,37 @@ def test_quotient_filters_merge():
     assert (got[0] == keys).all() and (got[1] == n).all()
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 1000])
+def test_quotient_filter_slots(n):
+    """Ascending slots, every quotient's run in one piece and not before its own slot, counters beyond a byte."""
+    rng = np.random.default_rng(n)
+    fp = np.unique((np.uint64(5) << np.uint64(59)) | (rng.integers(0, 2**62, n, dtype=np.uint64) >> np.uint64(3 if n < 9 else 9)))
+    counts = rng.choice([1, 1, 2, 254, 255, 256, 70_000], len(fp))
+    made = quotient_dedup.QuotientFilter(fp, counts, 5)
+    for f in (made, quotient_dedup.QuotientFilter.from_bytes(made.to_bytes())):
+        slots = np.flatnonzero(f.counter)
+        width = 64 - 5 - f.bits
+        quotient = (fp >> np.uint64(width) & np.uint64((1 << f.bits) - 1)).astype(np.int64)
+        assert len(slots) == len(fp) and (slots >= quotient).all() and (f.shifted[slots] == (slots != quotient)).all()
+        assert (np.flatnonzero(f.occupied) == np.unique(quotient)).all()
+        got = f.items()
+        assert (got[0] == fp).all() and (got[1] == counts).all()
+    both = quotient_dedup.QuotientFilter.merge([made, made]).items()
+    assert (both[0] == fp).all() and (both[1] == 2 * counts).all()
+
+
+def test_copies_keep_clashing_columns(spark):
+    rows = spark.createDataFrame([(1, "a b", 77, 1, 2), (2, "ab", 78, 1, 2), (2, "ab", 78, 1, 2), (None, "a  b", 79, 1, 2), (3, "c", 80, 1, 2)], "doc_id long, text string, key long, sha int, chars int")
+    assert sorted((r.key, r.sha, r.chars) for r in quotient_dedup.drop_copies(rows).collect()) == [(79, 1, 2), (80, 1, 2)]
+
+
+def test_shards_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(quotient_dedup, "SHARD_ROWS", 4)
+    frame = spark.createDataFrame([(i, f"t{i % 300}") for i in range(700)], "doc_id long, text string").repartition(3)
+    assert quotient_dedup.shard_bits_of(700) == 8
+    assert collections.Counter(r.group_size for r in quotient_dedup.find_copies(frame).collect()) == {2: 400, 3: 300}
+
+
 # ---- 8 Jaccard join ----
 
 
@@ -415,6 +446,54 @@ def test_components(spark, docs, edges, empty):
     assert jaccard_join.join(empty).count() == 0
 
 
+def test_one_of_each_group_stays_by_id_and_text(spark):
+    one, two = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    rows = [(5, one), (5, two), (3, one + " more"), (None, two + " more"), (None, two + " more"), (None, None), (3, one + " more"), (9, "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"key": F.lit(1), "hash": F.lit(2)})
+    left = jaccard_join.keep_one(frame)
+    assert left.columns == frame.columns
+    assert sorted((str(r.doc_id), str(r.text), r.key, r.hash) for r in left.collect()) == sorted((str(d), str(t), 1, 2) for d, t in [(3, one + " more"), (5, two), (None, None), (9, "x")])
+
+
+@pytest.mark.parametrize("own", [8, 12, 30])
+def test_template_clusters(spark, monkeypatch, own):
+    """Texts of a common template and words of their own: beside the border on either side, in clusters of many blocks."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+    rng = random.Random(own)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    template = [word() for _ in range(64)]
+    planted = [" ".join([*template, *(word() for _ in range(own))]) for _ in range(120)]
+    planted += [" ".join([*template[: rng.randint(40, 64)], *(word() for _ in range(rng.randint(0, 14)))]) for _ in range(60)]
+    planted += [" ".join(t.split()[: rng.randint(55, 70)]) for t in rng.sample(planted, 40)]
+    frame = spark.createDataFrame(list(enumerate(planted)), "doc_id long, text string").repartition(4)
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard_join.join(frame).collect())
+    assert got == brute_components(texts(frame))
+
+
+def test_grouped_pairs_lose_no_link():
+    """Of random linked sets, whatever the frequencies of their tokens, signatures meet."""
+    rng = np.random.default_rng(12)
+    for _ in range(400):
+        n = int(rng.integers(2, 260))
+        space = np.sort(rng.choice(1 << 48, 2 * n + 60, replace=False).astype(np.uint64))
+        df = {int(t): int(d) for t, d in zip(space, rng.choice([2, 40, 65, 70, 5000], len(space)), strict=True)}
+        one = np.sort(rng.choice(space, n, replace=False))
+        keep = rng.permutation(n)[: n - int(rng.integers(0, n // 4 + 1))]
+        other = np.setdiff1d(space, one)
+        two = np.sort(np.concatenate([one[keep], rng.choice(other, int(rng.integers(0, n // 4 + 1)), replace=False)]))
+        both = len(np.intersect1d(one, two))
+        if 100 * both < 75 * (len(one) + len(two) - both) or n < 2 or len(two) < 2:
+            continue
+        found = []
+        for s in (one, two):
+            low = int((s < 1 << 47).sum())
+            sent = s[: max(low, min(len(s), jaccard_join.prefix_size(len(s)) + max(jaccard_join.group_numbers(len(s)))))]
+            d = np.array([df[int(t)] if t < 1 << 47 else jaccard_join.BEHIND for t in sent])
+            at = np.lexsort((sent, d))
+            found.append(set(jaccard_join.signatures_of(len(s), low, sent[at], d[at]).tolist()))
+        assert found[0] & found[1]
+
+
 def test_components_with_small_limits(spark, monkeypatch):
     """Blocks, declared frequent tokens and pairs of tokens at a small size."""
     for name, value in (("BLOCK", 16), ("LOCALLY_FREQUENT", 6), ("RARE", 4)):
