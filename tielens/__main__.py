@@ -15,7 +15,7 @@ from .sources.views import Tables
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="tielens")
-    parser.add_argument("name", choices=[*PASSES, "late-edition"])
+    parser.add_argument("name", choices=[*PASSES, "nightly"])
     parser.add_argument("--data", required=True)
     parser.add_argument("--out")
     parser.add_argument("--live", action="store_true")
@@ -28,7 +28,7 @@ def main() -> None:
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     params = dataclasses.replace(PARAMS, today=args.today, dry_run=not args.live)
     tables = Tables(spark, args.data)
-    for name in NIGHTLY if args.name == "late-edition" else [args.name]:
+    for name in NIGHTLY if args.name == "nightly" else [args.name]:
         more = {"text": args.command_text} if name == "part-d" and args.command_text else {}
         for part, df in PASSES[name](tables, params, **more).items():
             if args.live:

@@ -15,22 +15,43 @@ FREEMAIL = "gmail.com googlemail.com yahoo.com ymail.com hotmail.com outlook.com
 AUTO_REPLIES = ["automatic reply", "out of office", "auto:"]
 #: Subjects of transactional mail.
 TRANSACTIONAL = [
-    r"order\s+(confirmation|confirmed|received|#\d+)", r"your\s+order", "receipt", "invoice", r"statement\s+(is\s+)?(ready|available)", r"has\s+shipped", r"shipping\s+(confirmation|update)",
-    r"tracking\s+(number|info|information)", r"out\s+for\s+delivery", r"delivery\s+(confirmation|update|notification)", r"appointment\s+(reminder|confirmed|confirmation)", "reminder:",
-    r"(take|complete)\s+(our|this|a)\s+survey", r"how\s+did\s+we\s+do", r"rate\s+your\s+(experience|order|visit)", r"verify\s+your\s+(email|account|address)", r"confirm\s+your\s+(email|subscription)",
-    r"password\s+reset", r"reset\s+your\s+password", r"security\s+(code|alert)", r"your\s+(subscription|membership|plan)\s+(will|has|is)", r"renewal\s+(notice|reminder)", r"payment\s+(received|due|failed|confirmation)",
-    r"booking\s+(confirmation|confirmed)", "itinerary", r"e-?ticket", r"welcome\s+to\s+\w+", "unsubscribe",
-]
+    r"\border\s+(confirmation|confirmed|received|#\d+)",
+    r"\byour\s+order\b",
+    r"\breceipt\b",
+    r"\binvoice\b",
+    r"\bstatement\s+(is\s+)?(ready|available)\b",
+    r"\bhas\s+shipped\b",
+    r"\bshipping\s+(confirmation|update)\b",
+    r"\btracking\s+(number|info|information)\b",
+    r"\bout\s+for\s+delivery\b",
+    r"\bdelivery\s+(confirmation|update|notification)\b",
+    r"\bappointment\s+(reminder|confirmed|confirmation)\b",
+    r"\breminder:",
+    r"\b(take|complete)\s+(our|this|a)\s+survey\b",
+    r"\bhow\s+did\s+we\s+do\b",
+    r"\brate\s+your\s+(experience|order|visit)\b",
+    r"\bverify\s+your\s+(email|account|address)\b",
+    r"\bconfirm\s+your\s+(email|subscription)\b",
+    r"\bpassword\s+reset\b",
+    r"\breset\s+your\s+password\b",
+    r"\bsecurity\s+(code|alert)\b",
+    r"\byour\s+(subscription|membership|plan)\s+(will|has|is)\b",
+    r"\brenewal\s+(notice|reminder)\b",
+    r"\bpayment\s+(received|due|failed|confirmation)\b",
+    r"\bbooking\s+(confirmation|confirmed)\b",
+    r"\bitinerary\b",
+    r"\be-?ticket\b",
+    r"\bwelcome\s+to\s+\w+",
+    r"\bunsubscribe\b",
+]
 BEFORE, AFTER = r"(?<![A-Za-z0-9_])", r"(?![A-Za-z0-9_])"
 #: An ASCII word border, whichever side the word is on.
 BORDER = r"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"
 
 
-def bounded(pattern: str) -> str:
-    """A pattern between ASCII word borders."""
-    left = BEFORE if pattern[0].isalnum() or pattern[0] == "(" else ""
-    right = AFTER if pattern[-1].isalnum() or pattern[-1] in ")+" else ""
-    return left + pattern + right
+def ascii_borders(pattern: str) -> str:
+    """A pattern whose word borders are ASCII in any Java version."""
+    return pattern.replace(r"\b", BORDER)
 
 
 def local_part(email: Column) -> Column:
@@ -81,7 +102,7 @@ def is_auto_reply(subject: Column) -> Column:
 
 
 def is_transactional(subject: Column) -> Column:
-    return (F.trim(subject) != "") & subject.rlike("(?i)" + "|".join(bounded(p) for p in TRANSACTIONAL))
+    return (F.trim(subject) != "") & subject.rlike("(?i)" + ascii_borders("|".join(TRANSACTIONAL)))
 
 
 def direction(text: Column) -> Column:

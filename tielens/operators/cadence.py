@@ -16,19 +16,19 @@ REASON_CHARS, MANUAL = 500, " [manual]"
 
 def master_index(master: DataFrame) -> DataFrame:
     """Master rows by contact id: blank ids are gaps, the last row of an id wins."""
-    rows = master.filter(F.trim("bhc_id") != "").withColumn("location", F.upper(F.trim("location"))).withColumn("google_row", cells.positive_int(F.col("google_row")))
-    return last_wins(rows, ["bhc_id"], ["master_row"])
+    rows = master.filter(F.trim("ref_id") != "").withColumn("location", F.upper(F.trim("location"))).withColumn("google_row", cells.positive_int(F.col("google_row")))
+    return last_wins(rows, ["ref_id"], ["master_row"])
 
 
 def pointer_index(master: DataFrame) -> DataFrame:
     """Master rows by CRM pointer; a pointer that several rows share is removed."""
-    rows = master.filter((F.trim("bhc_id") != "") & (F.trim("attio_record_id") != ""))
-    return unambiguous(rows.select("attio_record_id", "bhc_id", "full_name", "master_row"), ["attio_record_id"])
+    rows = master.filter((F.trim("ref_id") != "") & (F.trim("attio_record_id") != ""))
+    return unambiguous(rows.select("attio_record_id", "ref_id", "full_name", "master_row"), ["attio_record_id"])
 
 
 def tier_index(contacts: DataFrame) -> DataFrame:
     rows = contacts.filter((F.trim("contact_id") != "") & (F.trim("relationship_tier") != ""))
-    return last_wins(rows.select(F.col("contact_id").alias("bhc_id"), "relationship_tier", "sheet_row"), ["bhc_id"], ["sheet_row"]).drop("sheet_row")
+    return last_wins(rows.select(F.col("contact_id").alias("ref_id"), "relationship_tier", "sheet_row"), ["ref_id"], ["sheet_row"]).drop("sheet_row")
 
 
 def _rule(table: dict, key: Column, part: int) -> Column:
@@ -80,11 +80,11 @@ def cadence(rows: DataFrame, today: str) -> DataFrame:
 
 def evaluate(pipeline: DataFrame, people: DataFrame, master: DataFrame, contacts: DataFrame, today: str) -> DataFrame:
     """Pipeline entry -> person -> master -> tier, with cadence and the reason for withholding a write, if any."""
-    rows = pipeline.join(people.select("record_id", F.col("name").alias("person_name"), F.col("bhc_contact_id").alias("person_bhc")).withColumn("fetched", F.lit(True)), "record_id", "left")
-    pointer = master.filter((F.trim("bhc_id") != "") & (F.trim("attio_record_id") != "")).groupBy(F.col("attio_record_id").alias("record_id"))
-    pointer = pointer.agg(F.count(F.lit(1)).alias("pointers"), F.min("bhc_id").alias("bhc_id"), F.min("full_name").alias("master_name"))
+    rows = pipeline.join(people.select("record_id", F.col("name").alias("person_name"), F.col("crm_ref_id").alias("person_ref")).withColumn("fetched", F.lit(True)), "record_id", "left")
+    pointer = master.filter((F.trim("ref_id") != "") & (F.trim("attio_record_id") != "")).groupBy(F.col("attio_record_id").alias("record_id"))
+    pointer = pointer.agg(F.count(F.lit(1)).alias("pointers"), F.min("ref_id").alias("ref_id"), F.min("full_name").alias("master_name"))
     rows = rows.join(pointer, "record_id", "left")
-    rows = rows.join(tier_index(contacts), "bhc_id", "left").withColumn("tier", text.tier(F.col("relationship_tier")))
+    rows = rows.join(tier_index(contacts), "ref_id", "left").withColumn("tier", text.tier(F.col("relationship_tier")))
     return cadence(rows, today).withColumn("withheld", gate())
 
 
@@ -97,7 +97,7 @@ def gate() -> Column:
         .when(col("fetched").isNull(), "fetch_failed")
         .when(col("pointers") > 1, "duplicate_pointer")
         .when(col("pointers").isNull(), F.lit(None))
-        .when((col("person_bhc") != "") & (col("person_bhc") != col("bhc_id")), "id_mismatch")
+        .when((col("person_ref") != "") & (col("person_ref") != col("ref_id")), "id_mismatch")
         .when(verdict == "MISMATCH", "name_mismatch")
         .when(verdict == "UNVERIFIABLE", "name_unverifiable")
     )

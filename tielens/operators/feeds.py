@@ -30,12 +30,12 @@ def sync_plan(segments: DataFrame, people: DataFrame) -> DataFrame:
 
 
 def mint(rows: DataFrame, order: list[str], existing: DataFrame, id_col: str) -> DataFrame:
-    """Serial ids ``BHC-%05d`` after the largest valid one.
+    """Serial ids ``REF-%05d`` after the largest valid one.
 
     Rows are written by ranges of the order, each with its range's number; numbers come from counts per range, so no
     task ranks all rows, and a lost executor changes no number.
     """
-    serial = F.regexp_extract(id_col, r"^BHC-([0-9]{5,})$", 1).try_cast("long")
+    serial = F.regexp_extract(id_col, r"^REF-([0-9]{5,})$", 1).try_cast("long")
     last = existing.agg(F.coalesce(F.max(serial), F.lit(0)).alias("last")).first()["last"]
     ranged = landed(rows.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "ranges")
     sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
@@ -43,12 +43,19 @@ def mint(rows: DataFrame, order: list[str], existing: DataFrame, id_col: str) ->
     nth = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
     out = ranged.withColumn("_nth", nth).join(F.broadcast(starts), "_p")
     n = F.col("_start") + F.col("_nth") + F.lit(last)
-    return out.withColumn("minted_id", F.concat(F.lit("BHC-"), F.when(n < 100000, F.lpad(n.cast("string"), 5, "0")).otherwise(n.cast("string")))).drop("_p", "_n", "_start", "_nth")
+    return out.withColumn("minted_id", F.concat(F.lit("REF-"), F.when(n < 100000, F.lpad(n.cast("string"), 5, "0")).otherwise(n.cast("string")))).drop("_p", "_n", "_start", "_nth")
+
+
+#: Beginnings of the subjects of administrative entries.
+ADMINISTRATIVE = ["Closed from queue", "Dismissed", "Snoozed", "Archived", "Pipeline stage"]
 
 
 def richness(activity: DataFrame) -> DataFrame:
-    """How much is known of a contact: rich, thin or empty; administrative subjects don't count."""
-    rows = activity.withColumn("counts", ~F.col("subject").rlike("(?i)subject (0|1)$"))
+    """How much is known of a contact: rich, thin or empty; administrative entries don't count."""
+    subject, administrative = F.coalesce("subject", F.lit("")), F.lit(False)
+    for beginning in ADMINISTRATIVE:
+        administrative = administrative | subject.startswith(beginning)
+    rows = activity.withColumn("counts", ~administrative)
     out = rows.groupBy("contact_id").agg(F.count_if("counts").alias("entries"), F.sum(F.when(F.col("counts"), F.length("body")).otherwise(0)).alias("chars"))
     kind = F.when((F.col("entries") >= 2) | (F.col("chars") >= 600), "rich").when((F.col("entries") >= 1) | (F.col("chars") >= 200), "thin").otherwise("empty")
     return out.select("contact_id", "entries", "chars", kind.alias("richness"))

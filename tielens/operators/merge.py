@@ -63,7 +63,7 @@ def scan_opportunities(people: DataFrame, pipeline: DataFrame, master: DataFrame
     """People with a signal, and the first rule that excludes them (null: proposed)."""
     col = F.col
     rows = people.join(pipeline.select("record_id").distinct().withColumn("on_pipeline", F.lit(True)), "record_id", "left")
-    rows = rows.join(master.select(col("bhc_id").alias("bhc_contact_id"), col("full_name").alias("master_name"), F.lit(True).alias("in_master")), "bhc_contact_id", "left")
+    rows = rows.join(master.select(col("ref_id").alias("crm_ref_id"), col("full_name").alias("master_name"), F.lit(True).alias("in_master")), "crm_ref_id", "left")
     rows = rows.join(proposals.select("record_id").distinct().withColumn("proposed", F.lit(True)), "record_id", "left")
     call = F.regexp_extract("last_url", r"/calls/([0-9]+)", 1)
     rule = F.when(col("on_pipeline"), "already_on_pipeline").when(col("in_master").isNull(), "no_master_id_row").when(call.rlike(r"^(\d)\1{5,}$"), "synthetic_test_record").when(col("proposed"), "already_proposed")
@@ -83,31 +83,31 @@ def email_map(contacts: DataFrame) -> DataFrame:
 
 def resolve(addresses: DataFrame, contacts: DataFrame, people: DataFrame) -> DataFrame:
     """Address -> contact: the sheet, else exactly one CRM record with an id, else a new candidate, else unresolved."""
-    crm = people.select(F.explode(cells.split_list(F.lower("all_emails"))).alias("email"), "record_id", "bhc_contact_id").distinct()
-    crm = crm.groupBy("email").agg(F.count(F.lit(1)).alias("hits"), F.max("bhc_contact_id").alias("crm_id"))
+    crm = people.select(F.explode(cells.split_list(F.lower("all_emails"))).alias("email"), "record_id", "crm_ref_id").distinct()
+    crm = crm.groupBy("email").agg(F.count(F.lit(1)).alias("hits"), F.max("crm_ref_id").alias("crm_id"))
     met = addresses.join(email_map(contacts).select("email", F.col("contact_id").alias("sheet_id")), "email", "left").join(crm, "email", "left")
     how = F.when(F.col("sheet_id").isNotNull(), "contacts").when(F.col("hits").isNull(), "new_candidate").when((F.col("hits") == 1) & (F.col("crm_id") != ""), "crm").otherwise("unresolved")
-    return met.select("email", how.alias("how"), F.when(how == "contacts", F.col("sheet_id")).when(how == "crm", F.col("crm_id")).alias("bhc_id"))
+    return met.select("email", how.alias("how"), F.when(how == "contacts", F.col("sheet_id")).when(how == "crm", F.col("crm_id")).alias("ref_id"))
 
 
 def check_drift(index: DataFrame, contacts: DataFrame, people: DataFrame) -> DataFrame:
-    """(bhc_id, tags): sides that the location claims but that hold another id."""
+    """(ref_id, tags): sides that the location claims but that hold another id."""
     sheet = contacts.select(F.col("sheet_row").alias("google_row"), "contact_id")
-    crm = people.select(F.col("record_id").alias("attio_record_id"), "bhc_contact_id")
+    crm = people.select(F.col("record_id").alias("attio_record_id"), "crm_ref_id")
     met = index.join(sheet, "google_row", "left").join(crm, "attio_record_id", "left")
     claims = lambda side: F.col("location").isin(side, "BOTH")
-    google = claims("GOOGLE") & F.col("google_row").isNotNull() & (F.coalesce("contact_id", F.lit("")) != F.col("bhc_id"))
-    attio = claims("ATTIO") & (F.col("attio_record_id") != "") & (F.coalesce("bhc_contact_id", F.lit("")) != F.col("bhc_id"))
+    google = claims("GOOGLE") & F.col("google_row").isNotNull() & (F.coalesce("contact_id", F.lit("")) != F.col("ref_id"))
+    attio = claims("ATTIO") & (F.col("attio_record_id") != "") & (F.coalesce("crm_ref_id", F.lit("")) != F.col("ref_id"))
     tags = F.array_compact(F.array(F.when(google, "google"), F.when(attio, "attio")))
-    return met.select("bhc_id", F.array_join(tags, ",").alias("tags"))
+    return met.select("ref_id", F.array_join(tags, ",").alias("tags"))
 
 
 def ownership(claims: DataFrame, index: DataFrame) -> DataFrame:
-    """Claims ``(bhc_id, claimed_row, claimed_record)`` that master still agrees with, per side."""
-    met = claims.join(index.select("bhc_id", "google_row", "attio_record_id"), "bhc_id", "left")
+    """Claims ``(ref_id, claimed_row, claimed_record)`` that master still agrees with, per side."""
+    met = claims.join(index.select("ref_id", "google_row", "attio_record_id"), "ref_id", "left")
     row = F.coalesce(F.col("claimed_row") == F.col("google_row"), F.lit(False))
     record = F.coalesce((F.col("claimed_record") != "") & (F.col("claimed_record") == F.col("attio_record_id")), F.lit(False))
-    return met.select("bhc_id", "claimed_row", "claimed_record", row.alias("owns_row"), record.alias("owns_record"))
+    return met.select("ref_id", "claimed_row", "claimed_record", row.alias("owns_row"), record.alias("owns_record"))
 
 
 def cache(index: DataFrame, contacts: DataFrame, people: DataFrame, pipeline: DataFrame, today: str) -> DataFrame:
@@ -119,10 +119,10 @@ def cache(index: DataFrame, contacts: DataFrame, people: DataFrame, pipeline: Da
     rows = rows.join(sheet, "google_row", "left").join(pipeline.select(col("record_id").alias("attio_record_id"), "tnb_stage", "fte_stage", "native_touch"), "attio_record_id", "left")
     both = (col("location") == "BOTH") & col("contact_id").isNotNull()
     side = lambda a, b: F.coalesce(F.when(both, a).otherwise(b), F.lit(""))
-    withheld = F.when(col("found").isNull(), "not_found").when(both & (col("contact_id") != col("bhc_id")), "row_drift")
+    withheld = F.when(col("found").isNull(), "not_found").when(both & (col("contact_id") != col("ref_id")), "row_drift")
     due = F.date_add("native_touch", 30)
     return rows.select(
-        "bhc_id",
+        "ref_id",
         col("attio_record_id").alias("record_id"),
         side(F.concat_ws(" ", "first_name", "last_name"), col("name")).alias("name"),
         side(col("title"), col("job_title")).alias("title"),
@@ -140,11 +140,11 @@ def repair_candidates(findings: DataFrame, master: DataFrame) -> DataFrame:
     rows = master.select("master_row", "attio_record_id")
     held = findings.filter(F.col("code").isin("S1", "A1", "A3", "S4", "I1")).join(rows, "master_row")
     contested = held.filter("code = 'S4'").select("attio_record_id").distinct()
-    disputed = held.filter("code = 'S1'").select("bhc_id").distinct()
+    disputed = held.filter("code = 'S1'").select("ref_id").distinct()
     a1 = held.filter("code = 'A1'").join(contested, "attio_record_id", "left_anti")
-    i1 = held.filter("code = 'I1'").join(disputed, "bhc_id", "left_anti")
+    i1 = held.filter("code = 'I1'").join(disputed, "ref_id", "left_anti")
     out = held.filter(F.col("code").isin("S1", "A3", "S4")).unionByName(a1).unionByName(i1)
-    return out.select("master_row", "bhc_id", "code", "found")
+    return out.select("master_row", "ref_id", "code", "found")
 
 
 def email_conflicts(people: DataFrame) -> DataFrame:

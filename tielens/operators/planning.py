@@ -12,7 +12,7 @@ from .tasks import open_tasks
 #: Bucket caps in order, plan and overflow caps.
 CAPS = {"task": 3, "reply": 4, "opportunity": 3, "outreach": 4, "action": 3}
 PLAN, OVERFLOW, REASON = 10, 40, 100
-COLUMNS = ["type", "contact", "bhc_id", "reason", "o1", "o2", "o3"]
+COLUMNS = ["type", "contact", "ref_id", "reason", "o1", "o2", "o3"]
 
 
 def bucket_items(tasks: DataFrame, brain: DataFrame, cadence: DataFrame, proposals: DataFrame, today: str) -> DataFrame:
@@ -21,23 +21,23 @@ def bucket_items(tasks: DataFrame, brain: DataFrame, cadence: DataFrame, proposa
     due = dates.flexible_date(col("due_date"))
     late = open_tasks(tasks).withColumn("due", due).filter(col("priority").isin("High", "Urgent") & (F.datediff(day, "due") > 0))
     zero = F.lit(0)
-    task = late.select(F.lit("task").alias("type"), col("contact_name").alias("contact"), col("contact_id").alias("bhc_id"), F.concat(F.lit("Overdue since "), dates.as_text(col("due")), F.lit(" — "), "priority", F.lit(" priority")).alias("reason"), (-F.datediff(day, "due")).alias("o1"), zero.alias("o2"), col("sheet_row").cast("string").alias("o3"))
+    task = late.select(F.lit("task").alias("type"), col("contact_name").alias("contact"), col("contact_id").alias("ref_id"), F.concat(F.lit("Overdue since "), dates.as_text(col("due")), F.lit(" — "), "priority", F.lit(" priority")).alias("reason"), (-F.datediff(day, "due")).alias("o1"), zero.alias("o2"), col("sheet_row").cast("string").alias("o3"))
     order = F.lpad(col("sheet_row").cast("string"), 9, "0")
     task = task.withColumn("o3", F.lpad("o3", 9, "0"))
     said = F.coalesce(text.filled(col("brain_notes")), col("running_summary"))
-    reply = brain.filter("action_required = 'REPLY_NEEDED'").select(F.lit("reply").alias("type"), col("contact_name").alias("contact"), "bhc_id", F.left(said, F.lit(REASON)).alias("reason"), zero.alias("o1"), zero.alias("o2"), order.alias("o3"))
-    action = brain.filter("action_required = 'ACTION_ITEM'").select(F.lit("action").alias("type"), col("contact_name").alias("contact"), "bhc_id", F.left("running_summary", F.lit(REASON)).alias("reason"), zero.alias("o1"), zero.alias("o2"), order.alias("o3"))
-    chance = proposals.filter(F.upper(F.trim("status")) == "PENDING").select(F.lit("opportunity").alias("type"), col("contact_name").alias("contact"), "bhc_id", F.left("evidence", F.lit(REASON)).alias("reason"), zero.alias("o1"), zero.alias("o2"), F.concat("contact_name", F.lit("|"), "record_id").alias("o3"))
+    reply = brain.filter("action_required = 'REPLY_NEEDED'").select(F.lit("reply").alias("type"), col("contact_name").alias("contact"), "ref_id", F.left(said, F.lit(REASON)).alias("reason"), zero.alias("o1"), zero.alias("o2"), order.alias("o3"))
+    action = brain.filter("action_required = 'ACTION_ITEM'").select(F.lit("action").alias("type"), col("contact_name").alias("contact"), "ref_id", F.left("running_summary", F.lit(REASON)).alias("reason"), zero.alias("o1"), zero.alias("o2"), order.alias("o3"))
+    chance = proposals.filter(F.upper(F.trim("status")) == "PENDING").select(F.lit("opportunity").alias("type"), col("contact_name").alias("contact"), "ref_id", F.left("evidence", F.lit(REASON)).alias("reason"), zero.alias("o1"), zero.alias("o2"), F.concat("contact_name", F.lit("|"), "record_id").alias("o3"))
     due_rows = cadence.filter((col("next_check_in") <= day) | col("stalled"))
-    name = F.coalesce("person_name", "master_name", "bhc_id", "record_id")
-    reach = due_rows.select(F.lit("outreach").alias("type"), name.alias("contact"), F.coalesce("bhc_id", F.lit("")).alias("bhc_id"), col("follow_up_reason").alias("reason"), F.when(col("stalled"), 0).otherwise(1).alias("o1"), (-F.coalesce("days_since", F.lit(-1))).alias("o2"), col("record_id").alias("o3"))
+    name = F.coalesce("person_name", "master_name", "ref_id", "record_id")
+    reach = due_rows.select(F.lit("outreach").alias("type"), name.alias("contact"), F.coalesce("ref_id", F.lit("")).alias("ref_id"), col("follow_up_reason").alias("reason"), F.when(col("stalled"), 0).otherwise(1).alias("o1"), (-F.coalesce("days_since", F.lit(-1))).alias("o2"), col("record_id").alias("o3"))
     out = task
     for part in (reply, chance, reach, action):
         out = out.unionByName(part)
     rank = F.lit(None).cast("int")
     for i, t in enumerate(CAPS):
         rank = F.when(col("type") == t, i).otherwise(rank)
-    return out.withColumns({"bucket": rank, "key": F.when(col("bhc_id") != "", col("bhc_id")).otherwise(F.concat("type", F.lit(":"), "contact"))})
+    return out.withColumns({"bucket": rank, "key": F.when(col("ref_id") != "", col("ref_id")).otherwise(F.concat("type", F.lit(":"), "contact"))})
 
 
 def _bucket_top(items: DataFrame, most: int) -> DataFrame:
@@ -54,7 +54,7 @@ def plan(items: DataFrame) -> DataFrame:
     held = _bucket_top(items, max(CAPS.values())).filter(F.col("pos") <= cap)
     held = held.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("bucket", "pos"))).filter("nth = 1")
     out = held.withColumn("priority", F.row_number().over(Window.orderBy("bucket", "pos")))
-    return out.filter(F.col("priority") <= PLAN).select("priority", "type", "contact", "bhc_id", "reason", "key")
+    return out.filter(F.col("priority") <= PLAN).select("priority", "type", "contact", "ref_id", "reason", "key")
 
 
 def overflow(items: DataFrame, planned: DataFrame) -> DataFrame:
@@ -64,7 +64,7 @@ def overflow(items: DataFrame, planned: DataFrame) -> DataFrame:
     first = rest.groupBy("type", "key").agg(F.min_by(F.struct(*columns), F.struct("o1", "o2", "o3")).alias("r")).select("type", "key", "r.*")
     head = first.orderBy("bucket", "o1", "o2", "o3").limit(OVERFLOW)
     out = head.withColumn("priority", F.row_number().over(Window.orderBy("bucket", "o1", "o2", "o3")) + PLAN)
-    return out.select("priority", "type", "contact", "bhc_id", "reason", "key")
+    return out.select("priority", "type", "contact", "ref_id", "reason", "key")
 
 
 def mission(pipeline: DataFrame, cadence: DataFrame, today: str) -> DataFrame:
@@ -72,7 +72,7 @@ def mission(pipeline: DataFrame, cadence: DataFrame, today: str) -> DataFrame:
     day = F.lit(today).cast("date")
     tracks = pipeline.select("record_id", F.explode(F.array(*(F.struct(F.lit(t).alias("track"), text.stage_number(F.col(c)).alias("stage")) for t, c in (("tnb", "tnb_stage"), ("fte", "fte_stage"), ("fractional", "fractional_stage"))))).alias("t"))
     active = tracks.filter("t.stage >= 1").select("record_id", "t.track").distinct()
-    rows = active.join(cadence.select("record_id", "stalled", "next_check_in", "days_since", F.coalesce("person_name", "master_name", "bhc_id", "record_id").alias("who")), "record_id")
+    rows = active.join(cadence.select("record_id", "stalled", "next_check_in", "days_since", F.coalesce("person_name", "master_name", "ref_id", "record_id").alias("who")), "record_id")
     order = F.struct(F.when(F.col("next_check_in") <= day, 0).otherwise(1), F.col("next_check_in"), F.col("record_id"))
     out = rows.groupBy("track").agg(F.countDistinct("record_id").alias("active"), F.count_if("stalled").alias("stalled"), F.min_by("who", order).alias("next_touch"), F.max("days_since").alias("days"))
     return out.select("track", "active", "stalled", "next_touch", F.when(F.col("track") == "fte", F.col("days")).alias("days_since_touch"))

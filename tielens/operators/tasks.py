@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import cells, dates, emails, names, text
 
 #: Automated sources.
-AUTOMATED = "(?i)mark_sent|outreach|" + emails.bounded("beat")
+AUTOMATED = "(?i)mark_sent|outreach|" + emails.ascii_borders(r"\bbeat\b")
 WINDOW_HOURS, STALE_DAYS = 72, 7
 
 

@@ -12,17 +12,16 @@ MESSAGE = "array<struct<email_msg_id string, direction string, sender_email stri
 
 
 def _any(patterns: list[str]) -> str:
-    return "(?i)" + "|".join(patterns)
+    return "(?i)" + emails.ascii_borders("|".join(patterns))
 
 
-_b = emails.bounded
 #: Noise patterns.
-SENSITIVE = _any([_b(x) for x in ("medical", "diagnosis", "prescription", "ssn", "social security")])
+SENSITIVE = _any([r"\bmedical\b", r"\bdiagnosis\b", r"\bprescription\b", r"\bssn\b", r"\bsocial security\b"])
 AUTOMATED_SENDER = _any(["^no-?reply@", "^do-?not-?reply@", "^notifications?@", "^alerts?@", "^automated@", "^system@"])
-AUTOMATED_SUBJECT = _any([_b(x) for x in ("receipt", "your (order|invoice|payment)", "password reset", "verify your (email|account)", "unsubscribe", "account statement")])
+AUTOMATED_SUBJECT = _any([r"\breceipt\b", r"\byour (order|invoice|payment)\b", r"\bpassword reset\b", r"\bverify your (email|account)\b", r"\bunsubscribe\b", r"\baccount statement\b"])
 VENDOR_SENDER = _any(["support@", "billing@", "sales@", "orders?@"])
-COLD_SUBJECT = _any([_b(x) for x in ("quick question", "partnership opportunity", "grow your (business|audience|list)", "limited time offer")])
-TEST = _any(["lorem ipsum", _b("test test test"), _b("this is a test"), _b("asdf+")])
+COLD_SUBJECT = _any([r"\bquick question\b", r"\bpartnership opportunity\b", r"\bgrow your (business|audience|list)\b", r"\blimited time offer\b"])
+TEST = _any(["lorem ipsum", r"\btest test test\b", r"\bthis is a test\b", r"\basdf+\b"])
 
 
 def messages(threads: DataFrame) -> DataFrame:
@@ -84,14 +83,14 @@ def write_targets(rows: DataFrame) -> DataFrame:
     has = lambda side: F.col("location").isin(side.upper(), "BOTH") & (F.instr("tags", side) == 0)
     google = F.when(has("google") & F.col("google_row").isNotNull(), F.struct(F.col("google_row").alias("google_row")))
     attio = F.when(has("attio") & (F.col("attio_record_id") != ""), F.struct(F.col("attio_record_id").alias("record_id")))
-    primary = F.struct("bhc_id", google.alias("google"), attio.alias("attio"))
-    return rows.select("bhc_id", F.to_json(F.struct(primary.alias("primary"))).alias("write_targets"))
+    primary = F.struct("ref_id", google.alias("google"), attio.alias("attio"))
+    return rows.select("ref_id", F.to_json(F.struct(primary.alias("primary"))).alias("write_targets"))
 
 
 def parse_write_targets(cell: Column) -> Column:
     """The struct, null unless it names a primary contact."""
-    parsed = F.from_json(cell, "primary struct<bhc_id string, google struct<google_row int>, attio struct<record_id string>>")
-    return F.when(F.coalesce(parsed.primary.bhc_id, F.lit("")) != "", parsed)
+    parsed = F.from_json(cell, "primary struct<ref_id string, google struct<google_row int>, attio struct<record_id string>>")
+    return F.when(F.coalesce(parsed.primary.ref_id, F.lit("")) != "", parsed)
 
 
 def parse_tasks(cell: Column) -> Column:

@@ -12,10 +12,10 @@ from ..params import Params
 def activity_plan(rows: DataFrame, index: DataFrame, p: Params) -> DataFrame:
     """Activity rows to append for resolved threads, the ids deterministic, sensitive fields emptied with a warning."""
     value, warning = pii.sanitize(F.col("running_summary"), "summary")
-    met = rows.join(index.select("bhc_id", "location", "google_row", "attio_record_id"), "bhc_id", "left")
+    met = rows.join(index.select("ref_id", "location", "google_row", "attio_record_id"), "ref_id", "left")
     return met.select(
         text.run_id_of("ACT", p.run_ms, F.col("sheet_row")).alias("activity_id"),
-        "bhc_id",
+        "ref_id",
         "contact_name",
         "subject",
         value.alias("body"),

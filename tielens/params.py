@@ -18,7 +18,7 @@ class Params:
     weights: dict[str, int] = field(default_factory=dict)
 
     @property
-    def run_id(self) -> str:
+    def run_id(self) -> str:  # the prefix is a fixed value of the id format
         return f"LATE-EDITION-{self.run_ms}"
 
 

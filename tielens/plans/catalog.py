@@ -42,12 +42,12 @@ def _evaluated(t: Tables) -> DataFrame:
 
 
 C = F.col
-_SHOWN = ["record_id", "bhc_id", "stage", "track", "tier", "cadence_days", "touch_mode", "touch_source", "next_check_in", "days_since", "stalled", "overdue_catch_up", "unknown_stage", "follow_up_reason"]
+_SHOWN = ["record_id", "ref_id", "stage", "track", "tier", "cadence_days", "touch_mode", "touch_source", "next_check_in", "days_since", "stalled", "overdue_catch_up", "unknown_stage", "follow_up_reason"]
 
 # ---- cadence ----
 
 
-@query("SELECT record_id, bhc_id, stage, track, tier, cadence_days, touch_mode, touch_source, strftime(next_check_in, '%Y-%m-%d') AS next_check_in, days_since, stalled, overdue_catch_up, stage > 5 AS unknown_stage, follow_up_reason FROM o_cadence")
+@query("SELECT record_id, ref_id, stage, track, tier, cadence_days, touch_mode, touch_source, strftime(next_check_in, '%Y-%m-%d') AS next_check_in, days_since, stalled, overdue_catch_up, stage > 5 AS unknown_stage, follow_up_reason FROM o_cadence")
 def cadence_table(t):
     return _evaluated(t).select(*_SHOWN)
 
@@ -234,12 +234,7 @@ def pii_matches(t):
     return t.v_text.select("doc_id", F.array_join(F.transform(pii.matches(C("text")), lambda m: F.concat(m.category, F.lit(":"), m.redacted)), "|").alias("matches"))
 
 
-_CARDS = f"list_distinct(list_filter({_ALL(pii.CARD)}, lambda m: {o.luhn(o.digits('m'))}))"
-_LONGEST = f"list_transform(list_sort(list_transform({_CARDS}, lambda m: {{'n': -length(m), 'm': m}})), lambda x: x.m)"
-_REDACTED = f"list_reduce(list_concat([text], {_LONGEST}), lambda acc, m: replace(acc, m, '[REDACTED_CARD]'))"
-
-
-@query(f"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace({_REDACTED}, '{o.re2(pii.SSN)}', '[REDACTED_SSN]', 'g'), '{o.re2(pii.API_KEY)}', '[REDACTED_API_KEY]', 'g'), '{o.re2(pii.PASSWORD)}', '[REDACTED_PASSWORD]', 'g') AS redacted FROM v_text")
+@query(f"SELECT doc_id, {o.redacted('text')} AS redacted FROM v_text")
 def pii_redact(t):
     return t.v_text.select("doc_id", pii.redact(C("text")).alias("redacted"))
 
@@ -258,12 +253,12 @@ def pii_sanitize(t):
 # ---- lookups ----
 
 
-@query("SELECT bhc_id, full_name, location, google_row, attio_record_id, master_row FROM o_index")
+@query("SELECT ref_id, full_name, location, google_row, attio_record_id, master_row FROM o_index")
 def master_index_last_wins(t):
-    return cadence.master_index(t.v_master).select("bhc_id", "full_name", "location", "google_row", "attio_record_id", "master_row")
+    return cadence.master_index(t.v_master).select("ref_id", "full_name", "location", "google_row", "attio_record_id", "master_row")
 
 
-@query("SELECT attio_record_id, bhc_id, full_name, master_row FROM v_master WHERE trim(bhc_id) <> '' AND trim(attio_record_id) <> '' QUALIFY count(*) OVER (PARTITION BY attio_record_id) = 1")
+@query("SELECT attio_record_id, ref_id, full_name, master_row FROM v_master WHERE trim(ref_id) <> '' AND trim(attio_record_id) <> '' QUALIFY count(*) OVER (PARTITION BY attio_record_id) = 1")
 def pointer_index_unambiguous(t):
     return cadence.pointer_index(t.v_master)
 
@@ -273,16 +268,16 @@ def email_map_first_wins(t):
     return merge.email_map(t.v_contacts)
 
 
-@query("SELECT i.bhc_id, i.google_row, c.contact_id, c.company FROM o_index i LEFT JOIN v_contacts c ON c.sheet_row = i.google_row")
+@query("SELECT i.ref_id, i.google_row, c.contact_id, c.company FROM o_index i LEFT JOIN v_contacts c ON c.sheet_row = i.google_row")
 def row_pointer_join(t):
-    return cadence.master_index(t.v_master).join(t.v_contacts.select(C("sheet_row").alias("google_row"), "contact_id", "company"), "google_row", "left").select("bhc_id", "google_row", "contact_id", "company")
+    return cadence.master_index(t.v_master).join(t.v_contacts.select(C("sheet_row").alias("google_row"), "contact_id", "company"), "google_row", "left").select("ref_id", "google_row", "contact_id", "company")
 
 
 _BOTH = "(i.location = 'BOTH' AND c.contact_id IS NOT NULL)"
 _SIDE = lambda a, b: f"coalesce(CASE WHEN {_BOTH} THEN {a} ELSE {b} END, '')"
 _SHEET_NAME = "concat_ws(' ', c.first_name, c.last_name)"
-_CACHE = f"""SELECT i.bhc_id, i.attio_record_id AS record_id, {_SIDE(_SHEET_NAME, "p.name")} AS name, {_SIDE("c.title", "p.job_title")} AS title, {_SIDE("c.company", "p.company")} AS company, {_SIDE("c.primary_email", "p.primary_email")} AS email, {o.stage("e.tnb_stage")} AS tnb,
-    coalesce(e.native_touch + 30 < {o.TODAY}, false) AS stale, CASE WHEN p.record_id IS NULL THEN 'not_found' WHEN {_BOTH} AND c.contact_id <> i.bhc_id THEN 'row_drift' END AS withheld,
+_CACHE = f"""SELECT i.ref_id, i.attio_record_id AS record_id, {_SIDE(_SHEET_NAME, "p.name")} AS name, {_SIDE("c.title", "p.job_title")} AS title, {_SIDE("c.company", "p.company")} AS company, {_SIDE("c.primary_email", "p.primary_email")} AS email, {o.stage("e.tnb_stage")} AS tnb,
+    coalesce(e.native_touch + 30 < {o.TODAY}, false) AS stale, CASE WHEN p.record_id IS NULL THEN 'not_found' WHEN {_BOTH} AND c.contact_id <> i.ref_id THEN 'row_drift' END AS withheld,
     CASE WHEN trim(p.name) = trim({_SHEET_NAME}) THEN 'EXACT' WHEN {o.share("p.name", _SHEET_NAME)} THEN 'CANDIDATE' ELSE 'LEAVE' END AS name_drift
 FROM o_index i LEFT JOIN v_people p ON p.record_id = i.attio_record_id LEFT JOIN v_contacts c ON c.sheet_row = i.google_row LEFT JOIN v_pipeline e ON e.record_id = i.attio_record_id WHERE i.location IN ('ATTIO', 'BOTH') AND trim(i.attio_record_id) <> ''"""
 
@@ -306,15 +301,15 @@ _ADDRESSES = "SELECT DISTINCT lower(primary_email) AS email FROM v_people WHERE
 
 @query(
     f"""SELECT a.email, CASE WHEN m.contact_id IS NOT NULL THEN 'contacts' WHEN hits IS NULL THEN 'new_candidate' WHEN hits = 1 AND crm_id <> '' THEN 'crm' ELSE 'unresolved' END AS how,
-    CASE WHEN m.contact_id IS NOT NULL THEN m.contact_id WHEN hits = 1 AND crm_id <> '' THEN crm_id END AS bhc_id FROM ({_ADDRESSES}) a LEFT JOIN o_emailmap m ON m.email = a.email
-    LEFT JOIN (SELECT email, count(*) AS hits, max(bhc_contact_id) AS crm_id FROM (SELECT DISTINCT u.email, record_id, bhc_contact_id FROM v_people, unnest({o.split_list("lower(all_emails)")}) AS u(email)) GROUP BY 1) c ON c.email = a.email"""
+    CASE WHEN m.contact_id IS NOT NULL THEN m.contact_id WHEN hits = 1 AND crm_id <> '' THEN crm_id END AS ref_id FROM ({_ADDRESSES}) a LEFT JOIN o_emailmap m ON m.email = a.email
+    LEFT JOIN (SELECT email, count(*) AS hits, max(crm_ref_id) AS crm_id FROM (SELECT DISTINCT u.email, record_id, crm_ref_id FROM v_people, unnest({o.split_list("lower(all_emails)")}) AS u(email)) GROUP BY 1) c ON c.email = a.email"""
 )
 def resolve_cascade(t):
     rows = t.v_people.filter("primary_email <> ''").select(F.lower("primary_email").alias("email")).union(_messages(t).select("sender_email")).distinct()
     return merge.resolve(rows, t.v_contacts, t.v_people)
 
 
-_TAGS = """SELECT i.*, concat_ws(',', CASE WHEN i.location IN ('GOOGLE', 'BOTH') AND i.google_row IS NOT NULL AND coalesce(c.contact_id, '') <> i.bhc_id THEN 'google' END, CASE WHEN i.location IN ('ATTIO', 'BOTH') AND i.attio_record_id <> '' AND coalesce(p.bhc_contact_id, '') <> i.bhc_id THEN 'attio' END) AS tags
+_TAGS = """SELECT i.*, concat_ws(',', CASE WHEN i.location IN ('GOOGLE', 'BOTH') AND i.google_row IS NOT NULL AND coalesce(c.contact_id, '') <> i.ref_id THEN 'google' END, CASE WHEN i.location IN ('ATTIO', 'BOTH') AND i.attio_record_id <> '' AND coalesce(p.crm_ref_id, '') <> i.ref_id THEN 'attio' END) AS tags
 FROM o_index i LEFT JOIN v_contacts c ON c.sheet_row = i.google_row LEFT JOIN v_people p ON p.record_id = i.attio_record_id"""
 
 
@@ -322,14 +317,14 @@ def _drift(t):
     return merge.check_drift(cadence.master_index(t.v_master), t.v_contacts, t.v_people)
 
 
-@query(f"SELECT bhc_id, tags FROM ({_TAGS})")
+@query(f"SELECT ref_id, tags FROM ({_TAGS})")
 def drift_check(t):
     return _drift(t)
 
 
-@query("SELECT s.bhc_id, s.sheet_row AS claimed_row, 'rec-' || substr(s.bhc_id, 5) AS claimed_record, coalesce(s.sheet_row = i.google_row, false) AS owns_row, coalesce('rec-' || substr(s.bhc_id, 5) = i.attio_record_id, false) AS owns_record FROM (SELECT contact_id AS bhc_id, sheet_row FROM v_contacts) s LEFT JOIN o_index i ON i.bhc_id = s.bhc_id")
+@query("SELECT s.ref_id, s.sheet_row AS claimed_row, 'rec-' || substr(s.ref_id, 5) AS claimed_record, coalesce(s.sheet_row = i.google_row, false) AS owns_row, coalesce('rec-' || substr(s.ref_id, 5) = i.attio_record_id, false) AS owns_record FROM (SELECT contact_id AS ref_id, sheet_row FROM v_contacts) s LEFT JOIN o_index i ON i.ref_id = s.ref_id")
 def ownership_gate(t):
-    claims = t.v_contacts.select(C("contact_id").alias("bhc_id"), C("sheet_row").alias("claimed_row"), F.concat(F.lit("rec-"), F.substr("contact_id", F.lit(5))).alias("claimed_record"))
+    claims = t.v_contacts.select(C("contact_id").alias("ref_id"), C("sheet_row").alias("claimed_row"), F.concat(F.lit("rec-"), F.substr("contact_id", F.lit(5))).alias("claimed_record"))
     return merge.ownership(claims, cadence.master_index(t.v_master))
 
 
@@ -350,9 +345,9 @@ def _scan(t):
     return merge.scan_opportunities(t.v_people, t.v_pipeline, cadence.master_index(t.v_master), t.v_proposals)
 
 
-@query("SELECT 'PROP-' || substr(record_id, 1, 8) AS proposal_id, record_id, bhc_contact_id AS bhc_id, company, evidence FROM o_scan WHERE rule IS NULL")
+@query("SELECT 'PROP-' || substr(record_id, 1, 8) AS proposal_id, record_id, crm_ref_id AS ref_id, company, evidence FROM o_scan WHERE rule IS NULL")
 def opportunity_scan(t):
-    return _scan(t).filter("rule is null").select(text.proposal_id(C("record_id")).alias("proposal_id"), "record_id", C("bhc_contact_id").alias("bhc_id"), "company", "evidence")
+    return _scan(t).filter("rule is null").select(text.proposal_id(C("record_id")).alias("proposal_id"), "record_id", C("crm_ref_id").alias("ref_id"), "company", "evidence")
 
 
 @query("SELECT record_id, rule FROM o_scan WHERE rule IS NOT NULL")
@@ -362,7 +357,7 @@ def opportunity_exclusions(t):
 
 # ---- resync and audit ----
 
-_RESYNC = "SELECT master_row, a.bhc_id, google_row AS old_row, CASE WHEN copies = 1 THEN sheet_row END AS new_row, CASE WHEN copies IS NULL THEN 'unresolvable_missing' WHEN copies > 1 THEN 'unresolvable_duplicate' WHEN google_row IS NOT DISTINCT FROM sheet_row THEN 'ok' ELSE 'correct' END AS action FROM o_audit a LEFT JOIN (SELECT contact_id, min(sheet_row) AS sheet_row, count(*) AS copies FROM v_contacts WHERE trim(contact_id) <> '' GROUP BY 1) c ON c.contact_id = a.bhc_id WHERE trim(a.bhc_id) <> ''"
+_RESYNC = "SELECT master_row, a.ref_id, google_row AS old_row, CASE WHEN copies = 1 THEN sheet_row END AS new_row, CASE WHEN copies IS NULL THEN 'unresolvable_missing' WHEN copies > 1 THEN 'unresolvable_duplicate' WHEN google_row IS NOT DISTINCT FROM sheet_row THEN 'ok' ELSE 'correct' END AS action FROM o_audit a LEFT JOIN (SELECT contact_id, min(sheet_row) AS sheet_row, count(*) AS copies FROM v_contacts WHERE trim(contact_id) <> '' GROUP BY 1) c ON c.contact_id = a.ref_id WHERE trim(a.ref_id) <> ''"
 
 
 @query(_RESYNC)
@@ -414,35 +409,35 @@ def audit_clean_count(t):
     return a.join(F.broadcast(b), F.lit(True)).withColumn("clean", C("audited") - C("flagged"))
 
 
-_CANDIDATES = "(SELECT bhc_contact_id AS bhc_id, name AS old_name, name || ' Jr' AS new_name FROM v_people WHERE bhc_contact_id <> '')"
+_CANDIDATES = "(SELECT crm_ref_id AS ref_id, name AS old_name, name || ' Jr' AS new_name FROM v_people WHERE crm_ref_id <> '')"
 
 
 def _candidates(t):
-    return t.v_people.filter("bhc_contact_id <> ''").select(C("bhc_contact_id").alias("bhc_id"), C("name").alias("old_name"), F.concat("name", F.lit(" Jr")).alias("new_name"))
+    return t.v_people.filter("crm_ref_id <> ''").select(C("crm_ref_id").alias("ref_id"), C("name").alias("old_name"), F.concat("name", F.lit(" Jr")).alias("new_name"))
 
 
 @query(
-    f"SELECT c.bhc_id, c.old_name, c.new_name, CASE WHEN is_old THEN 'drop_resolved_old' WHEN is_open THEN 'drop_awaiting' ELSE 'enqueue' END AS action FROM {_CANDIDATES} c LEFT JOIN (SELECT bhc_id, old_name, new_name, bool_or(upper(trim(status)) = 'RESOLVED_OLD') AS is_old, bool_or(trim(status) = '') AS is_open FROM v_conflicts GROUP BY ALL) x USING (bhc_id, old_name, new_name)"
+    f"SELECT c.ref_id, c.old_name, c.new_name, CASE WHEN is_old THEN 'drop_resolved_old' WHEN is_open THEN 'drop_awaiting' ELSE 'enqueue' END AS action FROM {_CANDIDATES} c LEFT JOIN (SELECT ref_id, old_name, new_name, bool_or(upper(trim(status)) = 'RESOLVED_OLD') AS is_old, bool_or(trim(status) = '') AS is_open FROM v_conflicts GROUP BY ALL) x USING (ref_id, old_name, new_name)"
 )
 def name_conflict_policy_a(t):
     return audit.suppress_a(_candidates(t), t.v_conflicts)
 
 
 @query(
-    f"SELECT trim(c.bhc_id) AS bhc_id, trim(c.old_name) AS old_name, trim(c.new_name) AS new_name, CASE WHEN is_old THEN 'drop_resolved_old' WHEN is_new THEN 'raise_again' WHEN n IS NOT NULL THEN 'skip_existing' ELSE 'enqueue' END AS action FROM {_CANDIDATES} c LEFT JOIN (SELECT trim(bhc_id) AS b, trim(old_name) AS x, trim(new_name) AS y, bool_or(upper(trim(status)) = 'RESOLVED_OLD') AS is_old, bool_or(upper(trim(status)) = 'RESOLVED_NEW') AS is_new, count(*) AS n FROM v_conflicts GROUP BY 1, 2, 3) e ON e.b = trim(c.bhc_id) AND e.x = trim(c.old_name) AND e.y = trim(c.new_name)"
+    f"SELECT trim(c.ref_id) AS ref_id, trim(c.old_name) AS old_name, trim(c.new_name) AS new_name, CASE WHEN is_old THEN 'drop_resolved_old' WHEN is_new THEN 'raise_again' WHEN n IS NOT NULL THEN 'skip_existing' ELSE 'enqueue' END AS action FROM {_CANDIDATES} c LEFT JOIN (SELECT trim(ref_id) AS b, trim(old_name) AS x, trim(new_name) AS y, bool_or(upper(trim(status)) = 'RESOLVED_OLD') AS is_old, bool_or(upper(trim(status)) = 'RESOLVED_NEW') AS is_new, count(*) AS n FROM v_conflicts GROUP BY 1, 2, 3) e ON e.b = trim(c.ref_id) AND e.x = trim(c.old_name) AND e.y = trim(c.new_name)"
 )
 def name_conflict_policy_b(t):
     return audit.suppress_b(_candidates(t), t.v_conflicts)
 
 
-@query(f"SELECT bhc_id, name AS old_name, trim(concat_ws(' ', first_name, last_name)) AS new_name, master_row FROM o_met WHERE {o.READY} AND outcome = 'shares_word' AND {o.norm('name')} <> {o.norm('first_name || chr(32) || last_name')}")
+@query(f"SELECT ref_id, name AS old_name, trim(concat_ws(' ', first_name, last_name)) AS new_name, master_row FROM o_met WHERE {o.READY} AND outcome = 'shares_word' AND {o.norm('name')} <> {o.norm('first_name || chr(32) || last_name')}")
 def name_candidates(t):
     return audit.name_candidates(t.v_master, t.v_people, t.v_contacts)
 
 
 @query(
-    f"""SELECT master_row, bhc_id, members, CASE WHEN location <> 'SUPERSEDED' THEN score END AS score, CASE WHEN location = 'SUPERSEDED' THEN 'excluded' WHEN rn = 1 THEN 'canonical' ELSE 'orphan' END AS role FROM (SELECT *, row_number() OVER (PARTITION BY bhc_id, location = 'SUPERSEDED' ORDER BY score DESC, master_row) AS rn FROM
-    (SELECT master_row, trim(bhc_id) AS bhc_id, upper(trim(location)) AS location, count(*) OVER (PARTITION BY trim(bhc_id)) AS members, CASE WHEN {o.leading("google_row")} > 0 THEN 2 ELSE 0 END + CASE WHEN trim(attio_record_id) <> '' THEN 2 ELSE 0 END AS score FROM v_master WHERE trim(bhc_id) <> '') WHERE members >= 2)"""
+    f"""SELECT master_row, ref_id, members, CASE WHEN location <> 'SUPERSEDED' THEN score END AS score, CASE WHEN location = 'SUPERSEDED' THEN 'excluded' WHEN rn = 1 THEN 'canonical' ELSE 'orphan' END AS role FROM (SELECT *, row_number() OVER (PARTITION BY ref_id, location = 'SUPERSEDED' ORDER BY score DESC, master_row) AS rn FROM
+    (SELECT master_row, trim(ref_id) AS ref_id, upper(trim(location)) AS location, count(*) OVER (PARTITION BY trim(ref_id)) AS members, CASE WHEN {o.leading("google_row")} > 0 THEN 2 ELSE 0 END + CASE WHEN trim(attio_record_id) <> '' THEN 2 ELSE 0 END AS score FROM v_master WHERE trim(ref_id) <> '') WHERE members >= 2)"""
 )
 def canonical_orphans(t):
     return audit.canonical(t.v_master)
@@ -454,7 +449,7 @@ def shared_pointer_groups(t):
 
 
 @query(
-    "SELECT f.master_row, f.bhc_id, code, found FROM o_findings f JOIN v_master m ON m.master_row = f.master_row WHERE code IN ('S1', 'A3', 'S4') OR (code = 'A1' AND m.attio_record_id NOT IN (SELECT x.attio_record_id FROM o_structural s JOIN v_master x ON x.master_row = s.master_row WHERE s.code = 'S4')) OR (code = 'I1' AND f.bhc_id NOT IN (SELECT bhc_id FROM o_structural WHERE code = 'S1'))"
+    "SELECT f.master_row, f.ref_id, code, found FROM o_findings f JOIN v_master m ON m.master_row = f.master_row WHERE code IN ('S1', 'A3', 'S4') OR (code = 'A1' AND m.attio_record_id NOT IN (SELECT x.attio_record_id FROM o_structural s JOIN v_master x ON x.master_row = s.master_row WHERE s.code = 'S4')) OR (code = 'I1' AND f.ref_id NOT IN (SELECT ref_id FROM o_structural WHERE code = 'S1'))"
 )
 def repair_candidates(t):
     return merge.repair_candidates(_findings(t), t.v_master)
@@ -542,7 +537,7 @@ _TRACKS = f"SELECT DISTINCT record_id, track FROM (SELECT record_id, 'tnb' AS tr
 
 
 @query(
-    f"SELECT k.track, count(DISTINCT k.record_id) AS active, count(*) FILTER (WHERE stalled) AS stalled, first(coalesce(person_name, master_name, bhc_id, c.record_id) ORDER BY CASE WHEN next_check_in <= {o.TODAY} THEN 0 ELSE 1 END, next_check_in, c.record_id) AS next_touch, CASE WHEN k.track = 'fte' THEN max(days_since) END AS days_since_touch FROM ({_TRACKS}) k JOIN o_cadence c ON c.record_id = k.record_id GROUP BY k.track"
+    f"SELECT k.track, count(DISTINCT k.record_id) AS active, count(*) FILTER (WHERE stalled) AS stalled, first(coalesce(person_name, master_name, ref_id, c.record_id) ORDER BY CASE WHEN next_check_in <= {o.TODAY} THEN 0 ELSE 1 END, next_check_in, c.record_id) AS next_touch, CASE WHEN k.track = 'fte' THEN max(days_since) END AS days_since_touch FROM ({_TRACKS}) k JOIN o_cadence c ON c.record_id = k.record_id GROUP BY k.track"
 )
 def mission_status(t):
     return planning.mission(t.v_pipeline, _evaluated(t), P.today)
@@ -557,13 +552,13 @@ def _items(t):
     return planning.bucket_items(t.v_tasks, t.v_brain, _evaluated(t), t.v_proposals, P.today)
 
 
-@query("SELECT priority, type, contact, bhc_id, reason, key FROM o_plan")
+@query("SELECT priority, type, contact, ref_id, reason, key FROM o_plan")
 def plan_items(t):
     return planning.plan(_items(t))
 
 
 @query(
-    "SELECT row_number() OVER (ORDER BY bucket, o1, o2, o3) + 10 AS priority, type, contact, bhc_id, reason, key FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY type, key ORDER BY o1, o2, o3) AS nth FROM o_items WHERE (type, key) NOT IN (SELECT (type, key) FROM o_plan)) WHERE nth = 1 ORDER BY bucket, o1, o2, o3 LIMIT 40)"
+    "SELECT row_number() OVER (ORDER BY bucket, o1, o2, o3) + 10 AS priority, type, contact, ref_id, reason, key FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY type, key ORDER BY o1, o2, o3) AS nth FROM o_items WHERE (type, key) NOT IN (SELECT (type, key) FROM o_plan)) WHERE nth = 1 ORDER BY bucket, o1, o2, o3 LIMIT 40)"
 )
 def plan_overflow(t):
     items = _items(t)
@@ -642,10 +637,10 @@ def clamp(t):
     return rows.select("record_id", "final", changed.alias("clamped"), F.when(changed, "unclear").otherwise(scoring.band(C("final"))).alias("band"))
 
 
-@query("SELECT (SELECT count(*) FROM v_people) AS total, (SELECT count(*) FROM v_people WHERE bhc_contact_id <> '') AS bridged, (SELECT count(*) FROM v_people WHERE bhc_contact_id = '') AS unbridged, true AS agrees")
+@query("SELECT (SELECT count(*) FROM v_people) AS total, (SELECT count(*) FROM v_people WHERE crm_ref_id <> '') AS bridged, (SELECT count(*) FROM v_people WHERE crm_ref_id = '') AS unbridged, true AS agrees")
 def enumeration_cross_check(t):
-    a = t.v_people.agg(F.count(F.lit(1)).alias("total"), F.count_if(C("bhc_contact_id") == "").alias("unbridged"))
-    b = t.v_people.filter("bhc_contact_id <> ''").agg(F.count(F.lit(1)).alias("bridged"))  # counted on its own, to be a check
+    a = t.v_people.agg(F.count(F.lit(1)).alias("total"), F.count_if(C("crm_ref_id") == "").alias("unbridged"))
+    b = t.v_people.filter("crm_ref_id <> ''").agg(F.count(F.lit(1)).alias("bridged"))  # counted on its own, to be a check
     return a.join(F.broadcast(b), F.lit(True)).select("total", "bridged", "unbridged", (C("total") - C("bridged") == C("unbridged")).alias("agrees"))
 
 
@@ -662,8 +657,8 @@ def common_id_prefix(t):
 def _queue(t):
     people = t.v_people
     out = scoring.exclusion_match(people, t.v_exclusions)
-    bridged = people.filter("bhc_contact_id <> ''").select("record_id")
-    open_ids = people.filter("bhc_contact_id = ''").select("record_id").join(out, "record_id", "left_anti")
+    bridged = people.filter("crm_ref_id <> ''").select("record_id")
+    open_ids = people.filter("crm_ref_id = ''").select("record_id").join(out, "record_id", "left_anti")
     new = scoring.scored(people).join(open_ids, "record_id", "left_semi")
     return merge.merge_queue(new, t.v_queue, bridged, out, P.today)
 
@@ -736,11 +731,11 @@ def thread_triage(t):
     return threads.noise(_messages(t))
 
 
-@query(f"SELECT bhc_id, location IN ('GOOGLE', 'BOTH') AND NOT contains(tags, 'google') AND google_row IS NOT NULL AS has_google, location IN ('ATTIO', 'BOTH') AND NOT contains(tags, 'attio') AND attio_record_id <> '' AS has_attio FROM ({_TAGS})")
+@query(f"SELECT ref_id, location IN ('GOOGLE', 'BOTH') AND NOT contains(tags, 'google') AND google_row IS NOT NULL AS has_google, location IN ('ATTIO', 'BOTH') AND NOT contains(tags, 'attio') AND attio_record_id <> '' AS has_attio FROM ({_TAGS})")
 def write_targets(t):
-    rows = cadence.master_index(t.v_master).join(_drift(t), "bhc_id")
+    rows = cadence.master_index(t.v_master).join(_drift(t), "ref_id")
     made = threads.write_targets(rows).withColumn("w", threads.parse_write_targets(C("write_targets")))
-    return made.select("bhc_id", C("w.primary.google").isNotNull().alias("has_google"), C("w.primary.attio").isNotNull().alias("has_attio"))
+    return made.select("ref_id", C("w.primary.google").isNotNull().alias("has_google"), C("w.primary.attio").isNotNull().alias("has_attio"))
 
 
 @query("SELECT thread_id, pos, CASE WHEN direction = 'Outbound' AND pos % 2 = 1 THEN 'FYI_ONLY' WHEN pos % 2 = 1 THEN 'REPLY_NEEDED' ELSE 'ACTION_ITEM' END AS action FROM v_messages")
@@ -808,8 +803,8 @@ def command_apply(t):
 
 # ---- write plans ----
 
-_ACT = f"""SELECT 'ACT-{P.run_ms}-' || sheet_row AS activity_id, b.bhc_id, contact_name, subject, CASE WHEN {o.category("running_summary")} IS NULL THEN running_summary ELSE '' END AS body, coalesce(location IN ('GOOGLE', 'BOTH') AND google_row IS NOT NULL, false) AS to_google, coalesce(location IN ('ATTIO', 'BOTH') AND attio_record_id <> '', false) AS to_attio,
-coalesce('Sensitive data (' || {o.category("running_summary")} || ') detected in summary — field skipped, not written. Review and correct the source content.', '') AS warning FROM v_brain b LEFT JOIN o_index i ON i.bhc_id = b.bhc_id"""
+_ACT = f"""SELECT 'ACT-{P.run_ms}-' || sheet_row AS activity_id, b.ref_id, contact_name, subject, CASE WHEN {o.category("running_summary")} IS NULL THEN running_summary ELSE '' END AS body, coalesce(location IN ('GOOGLE', 'BOTH') AND google_row IS NOT NULL, false) AS to_google, coalesce(location IN ('ATTIO', 'BOTH') AND attio_record_id <> '', false) AS to_attio,
+coalesce('Sensitive data (' || {o.category("running_summary")} || ') detected in summary — field skipped, not written. Review and correct the source content.', '') AS warning FROM v_brain b LEFT JOIN o_index i ON i.ref_id = b.ref_id"""
 
 
 def _activity(t):
@@ -828,12 +823,12 @@ def hollow_partial(t):
 
 
 @query(
-    "SELECT coalesce(e.bhc_id, a.bhc_id) AS bhc_id, CASE WHEN a.bhc_id IS NULL THEN 'missing' WHEN e.bhc_id IS NULL THEN 'unexpected' WHEN e.full_name IS DISTINCT FROM a.full_name OR e.company IS DISTINCT FROM a.company THEN 'mismatch' ELSE 'verified' END AS outcome, CASE WHEN a.bhc_id IS NOT NULL AND e.bhc_id IS NOT NULL THEN concat_ws(',', CASE WHEN e.full_name IS DISTINCT FROM a.full_name THEN 'full_name' END, CASE WHEN e.company IS DISTINCT FROM a.company THEN 'company' END) ELSE '' END AS fields FROM (SELECT i.bhc_id, i.full_name, c.company FROM o_index i JOIN v_contacts c ON c.sheet_row = i.google_row) e FULL JOIN (SELECT bhc_contact_id AS bhc_id, min(name) AS full_name, min(company) AS company FROM v_people WHERE bhc_contact_id <> '' GROUP BY 1) a ON a.bhc_id = e.bhc_id"
+    "SELECT coalesce(e.ref_id, a.ref_id) AS ref_id, CASE WHEN a.ref_id IS NULL THEN 'missing' WHEN e.ref_id IS NULL THEN 'unexpected' WHEN e.full_name IS DISTINCT FROM a.full_name OR e.company IS DISTINCT FROM a.company THEN 'mismatch' ELSE 'verified' END AS outcome, CASE WHEN a.ref_id IS NOT NULL AND e.ref_id IS NOT NULL THEN concat_ws(',', CASE WHEN e.full_name IS DISTINCT FROM a.full_name THEN 'full_name' END, CASE WHEN e.company IS DISTINCT FROM a.company THEN 'company' END) ELSE '' END AS fields FROM (SELECT i.ref_id, i.full_name, c.company FROM o_index i JOIN v_contacts c ON c.sheet_row = i.google_row) e FULL JOIN (SELECT crm_ref_id AS ref_id, min(name) AS full_name, min(company) AS company FROM v_people WHERE crm_ref_id <> '' GROUP BY 1) a ON a.ref_id = e.ref_id"
 )
 def qa_diff(t):
-    expected = cadence.master_index(t.v_master).join(t.v_contacts.select(C("sheet_row").alias("google_row"), "company"), "google_row").select("bhc_id", "full_name", "company")
-    actual = t.v_people.filter("bhc_contact_id <> ''").groupBy(C("bhc_contact_id").alias("bhc_id")).agg(F.min("name").alias("full_name"), F.min("company").alias("company"))
-    return writes.diff(expected, actual, "bhc_id", ["full_name", "company"])
+    expected = cadence.master_index(t.v_master).join(t.v_contacts.select(C("sheet_row").alias("google_row"), "company"), "google_row").select("ref_id", "full_name", "company")
+    actual = t.v_people.filter("crm_ref_id <> ''").groupBy(C("crm_ref_id").alias("ref_id")).agg(F.min("name").alias("full_name"), F.min("company").alias("company"))
+    return writes.diff(expected, actual, "ref_id", ["full_name", "company"])
 
 
 @query("SELECT sheet_row, CASE WHEN brain_notes = '' THEN 'Summary' WHEN contains(brain_notes, 'Summary') THEN brain_notes ELSE brain_notes || chr(10) || 'Summary' END AS notes, CAST(floor((sheet_row - 1) / 100) AS BIGINT) AS chunk FROM v_brain")
@@ -857,12 +852,12 @@ def segment_sync_plan(t):
     return feeds.sync_plan(t.v_segments, t.v_people)
 
 
-@query(r"SELECT url, 'BHC-' || CASE WHEN k < 100000 THEN lpad(CAST(k AS VARCHAR), 5, '0') ELSE CAST(k AS VARCHAR) END AS minted_id FROM (SELECT url, row_number() OVER (ORDER BY url) + (SELECT coalesce(max(TRY_CAST(regexp_extract(bhc_id, '^BHC-([0-9]{5,})$', 1) AS BIGINT)), 0) FROM v_master) AS k FROM o_feed)")
+@query(r"SELECT url, 'REF-' || CASE WHEN k < 100000 THEN lpad(CAST(k AS VARCHAR), 5, '0') ELSE CAST(k AS VARCHAR) END AS minted_id FROM (SELECT url, row_number() OVER (ORDER BY url) + (SELECT coalesce(max(TRY_CAST(regexp_extract(ref_id, '^REF-([0-9]{5,})$', 1) AS BIGINT)), 0) FROM v_master) AS k FROM o_feed)")
 def mint_ids(t):
-    return feeds.mint(feeds.unique_feed(t.v_segments), ["url"], t.v_master, "bhc_id").select("url", "minted_id")
+    return feeds.mint(feeds.unique_feed(t.v_segments), ["url"], t.v_master, "ref_id").select("url", "minted_id")
 
 
-@query("SELECT contact_id, entries, chars, CASE WHEN entries >= 2 OR chars >= 600 THEN 'rich' WHEN entries >= 1 OR chars >= 200 THEN 'thin' ELSE 'empty' END AS richness FROM (SELECT contact_id, count(*) FILTER (WHERE counts) AS entries, sum(CASE WHEN counts THEN length(body) ELSE 0 END) AS chars FROM (SELECT *, NOT regexp_matches(subject, '(?i)subject (0|1)$') AS counts FROM v_activity) GROUP BY 1)")
+@query("SELECT contact_id, entries, chars, CASE WHEN entries >= 2 OR chars >= 600 THEN 'rich' WHEN entries >= 1 OR chars >= 200 THEN 'thin' ELSE 'empty' END AS richness FROM (SELECT contact_id, count(*) FILTER (WHERE counts) AS entries, sum(CASE WHEN counts THEN length(body) ELSE 0 END) AS chars FROM (SELECT *, NOT regexp_matches(coalesce(subject, ''), '^(Closed from queue|Dismissed|Snoozed|Archived|Pipeline stage)') AS counts FROM v_activity) GROUP BY 1)")
 def richness(t):
     return feeds.richness(t.v_activity)
 
@@ -945,28 +940,28 @@ def dimension_fallback(t):
 # ---- repairs ----
 
 
-@query(f"WITH c AS (SELECT master_row, bhc_id, row_number() OVER (PARTITION BY bhc_id ORDER BY score DESC, master_row) AS rn, first_value(master_row) OVER (PARTITION BY bhc_id ORDER BY score DESC, master_row) AS best, members FROM (SELECT master_row, trim(bhc_id) AS bhc_id, upper(trim(location)) AS location, count(*) OVER (PARTITION BY trim(bhc_id)) AS members, CASE WHEN {o.leading('google_row')} > 0 THEN 2 ELSE 0 END + CASE WHEN trim(attio_record_id) <> '' THEN 2 ELSE 0 END AS score FROM v_master WHERE trim(bhc_id) <> '') WHERE members >= 2 AND location <> 'SUPERSEDED') SELECT master_row, bhc_id, best AS canonical_row, 'Duplicate of row ' || best AS note FROM c WHERE rn > 1")
+@query(f"WITH c AS (SELECT master_row, ref_id, row_number() OVER (PARTITION BY ref_id ORDER BY score DESC, master_row) AS rn, first_value(master_row) OVER (PARTITION BY ref_id ORDER BY score DESC, master_row) AS best, members FROM (SELECT master_row, trim(ref_id) AS ref_id, upper(trim(location)) AS location, count(*) OVER (PARTITION BY trim(ref_id)) AS members, CASE WHEN {o.leading('google_row')} > 0 THEN 2 ELSE 0 END + CASE WHEN trim(attio_record_id) <> '' THEN 2 ELSE 0 END AS score FROM v_master WHERE trim(ref_id) <> '') WHERE members >= 2 AND location <> 'SUPERSEDED') SELECT master_row, ref_id, best AS canonical_row, 'Duplicate of row ' || best AS note FROM c WHERE rn > 1")
 def repair_s1(t):
     from ..operators import repairs
 
     return repairs.repair_s1(t.v_master)
 
 
-@query(f"SELECT f.master_row, m.attio_record_id, f.bhc_id AS new_id, CASE WHEN {o.verify('p.name', 'm.full_name')} = 'MATCH' THEN 'PROCEED' ELSE 'NEEDS_MANUAL' END AS action FROM o_crm f JOIN v_master m ON m.master_row = f.master_row JOIN v_people p ON p.record_id = m.attio_record_id WHERE f.code = 'A1'")
+@query(f"SELECT f.master_row, m.attio_record_id, f.ref_id AS new_id, CASE WHEN {o.verify('p.name', 'm.full_name')} = 'MATCH' THEN 'PROCEED' ELSE 'NEEDS_MANUAL' END AS action FROM o_crm f JOIN v_master m ON m.master_row = f.master_row JOIN v_people p ON p.record_id = m.attio_record_id WHERE f.code = 'A1'")
 def repair_a1(t):
     from ..operators import repairs
 
     return repairs.repair_a1(audit.crm_side(t.v_master, t.v_people, t.v_contacts), t.v_master, t.v_people)
 
 
-@query("SELECT f.master_row, f.bhc_id, CASE WHEN n IS NULL THEN 'google_only' WHEN n = 1 THEN 'repoint' ELSE 'manual' END AS action, CASE WHEN n = 1 THEN h.record_id END AS new_pointer FROM o_crm f LEFT JOIN (SELECT bhc_contact_id, count(*) AS n, min(record_id) AS record_id FROM v_people WHERE bhc_contact_id <> '' GROUP BY 1) h ON h.bhc_contact_id = f.bhc_id WHERE f.code = 'A3'")
+@query("SELECT f.master_row, f.ref_id, CASE WHEN n IS NULL THEN 'google_only' WHEN n = 1 THEN 'repoint' ELSE 'manual' END AS action, CASE WHEN n = 1 THEN h.record_id END AS new_pointer FROM o_crm f LEFT JOIN (SELECT crm_ref_id, count(*) AS n, min(record_id) AS record_id FROM v_people WHERE crm_ref_id <> '' GROUP BY 1) h ON h.crm_ref_id = f.ref_id WHERE f.code = 'A3'")
 def repair_a3(t):
     from ..operators import repairs
 
     return repairs.repair_a3(audit.crm_side(t.v_master, t.v_people, t.v_contacts), t.v_master, t.v_people)
 
 
-@query(f"SELECT attio_record_id, CASE WHEN ids = 1 THEN id_row WHEN ids = 0 AND names = 1 THEN name_row END AS canonical_row, CASE WHEN ids = 1 OR (ids = 0 AND names = 1) THEN 'keep_canonical' ELSE 'manual' END AS action FROM (SELECT attio_record_id, count(*) FILTER (WHERE by_id) AS ids, count(*) FILTER (WHERE by_name) AS names, min(master_row) FILTER (WHERE by_id) AS id_row, min(master_row) FILTER (WHERE by_name) AS name_row, count(*) AS n FROM (SELECT a.attio_record_id, a.master_row, coalesce(p.bhc_contact_id = a.bhc_id, false) AS by_id, {o.verify('p.name', 'a.full_name')} = 'MATCH' AS by_name FROM o_audit a LEFT JOIN v_people p ON p.record_id = a.attio_record_id WHERE a.attio_record_id <> '') GROUP BY 1) WHERE n > 1")
+@query(f"SELECT attio_record_id, CASE WHEN ids = 1 THEN id_row WHEN ids = 0 AND names = 1 THEN name_row END AS canonical_row, CASE WHEN ids = 1 OR (ids = 0 AND names = 1) THEN 'keep_canonical' ELSE 'manual' END AS action FROM (SELECT attio_record_id, count(*) FILTER (WHERE by_id) AS ids, count(*) FILTER (WHERE by_name) AS names, min(master_row) FILTER (WHERE by_id) AS id_row, min(master_row) FILTER (WHERE by_name) AS name_row, count(*) AS n FROM (SELECT a.attio_record_id, a.master_row, coalesce(p.crm_ref_id = a.ref_id, false) AS by_id, {o.verify('p.name', 'a.full_name')} = 'MATCH' AS by_name FROM o_audit a LEFT JOIN v_people p ON p.record_id = a.attio_record_id WHERE a.attio_record_id <> '') GROUP BY 1) WHERE n > 1")
 def repair_s4(t):
     from ..operators import repairs
 
@@ -974,7 +969,7 @@ def repair_s4(t):
 
 
 @query(
-    f"SELECT f.master_row, m.attio_record_id, f.notes AS field, f.expected AS value, CASE WHEN p.bhc_contact_id <> f.bhc_id OR {o.verify('p.name', 'm.full_name')} <> 'MATCH' THEN 'NEEDS_MANUAL' WHEN f.notes = 'Email' AND (w.low <> m.attio_record_id OR w.high <> m.attio_record_id) THEN 'EMAIL_CONFLICT' ELSE 'PATCH' END AS action FROM o_drift f JOIN v_master m ON m.master_row = f.master_row JOIN v_people p ON p.record_id = m.attio_record_id LEFT JOIN (SELECT lower(primary_email) AS k, min(record_id) AS low, max(record_id) AS high FROM v_people GROUP BY 1) w ON w.k = lower(f.expected)"
+    f"SELECT f.master_row, m.attio_record_id, f.notes AS field, f.expected AS value, CASE WHEN p.crm_ref_id <> f.ref_id OR {o.verify('p.name', 'm.full_name')} <> 'MATCH' THEN 'NEEDS_MANUAL' WHEN f.notes = 'Email' AND (w.low <> m.attio_record_id OR w.high <> m.attio_record_id) THEN 'EMAIL_CONFLICT' ELSE 'PATCH' END AS action FROM o_drift f JOIN v_master m ON m.master_row = f.master_row JOIN v_people p ON p.record_id = m.attio_record_id LEFT JOIN (SELECT lower(primary_email) AS k, min(record_id) AS low, max(record_id) AS high FROM v_people GROUP BY 1) w ON w.k = lower(f.expected)"
 )
 def repair_i1(t):
     from ..operators import repairs
@@ -1020,12 +1015,12 @@ def status_machine(t):
 
 
 @query(
-    f"SELECT p.record_id, CASE WHEN trim(p.job_title) <> '' THEN p.job_title ELSE c.title END AS title, CASE WHEN trim(c.company) <> '' THEN c.company ELSE p.company END AS company, strftime(greatest(p.first_interaction, p.last_interaction), '%Y-%m-%d') AS newest FROM v_people p JOIN v_contacts c ON c.contact_id = p.bhc_contact_id WHERE p.bhc_contact_id <> ''"
+    f"SELECT p.record_id, CASE WHEN trim(p.job_title) <> '' THEN p.job_title ELSE c.title END AS title, CASE WHEN trim(c.company) <> '' THEN c.company ELSE p.company END AS company, strftime(greatest(p.first_interaction, p.last_interaction), '%Y-%m-%d') AS newest FROM v_people p JOIN v_contacts c ON c.contact_id = p.crm_ref_id WHERE p.crm_ref_id <> ''"
 )
 def field_policies(t):
     from ..operators import flow
 
-    met = t.v_people.filter("bhc_contact_id <> ''").alias("p").join(t.v_contacts.alias("c"), C("p.bhc_contact_id") == C("c.contact_id"))
+    met = t.v_people.filter("crm_ref_id <> ''").alias("p").join(t.v_contacts.alias("c"), C("p.crm_ref_id") == C("c.contact_id"))
     return met.select("record_id", flow.set_if_blank(C("job_title"), C("title")).alias("title"), flow.overwrite_if_filled(C("p.company"), C("c.company")).alias("company"), flow.set_if_newer(C("first_interaction"), C("last_interaction")).alias("newest"))
 
 
@@ -1056,7 +1051,7 @@ def evidence_verdicts(t):
 
 
 @query(
-    f"SELECT doc_id, concat_ws(',', CASE WHEN a <> text THEN 'text' END, CASE WHEN b <> lang THEN 'lang' END) AS redacted_fields, md5(a) AS text_md5 FROM (SELECT doc_id, text, lang, regexp_replace(regexp_replace(regexp_replace({_REDACTED}, '{o.re2(pii.SSN)}', '[REDACTED_SSN]', 'g'), '{o.re2(pii.API_KEY)}', '[REDACTED_API_KEY]', 'g'), '{o.re2(pii.PASSWORD)}', '[REDACTED_PASSWORD]', 'g') AS a, lang AS b FROM v_text JOIN (SELECT doc_id, lang FROM documents) USING (doc_id))"
+    f"SELECT doc_id, concat_ws(',', CASE WHEN a <> text THEN 'text' END, CASE WHEN b <> lang THEN 'lang' END) AS redacted_fields, md5(a) AS text_md5 FROM (SELECT doc_id, text, lang, {o.redacted('text')} AS a, lang AS b FROM v_text JOIN (SELECT doc_id, lang FROM documents) USING (doc_id))"
 )
 def guarded_fields(t):
     from ..operators import flow
@@ -1068,21 +1063,21 @@ def guarded_fields(t):
 # ---- sinks as plans ----
 
 
-@query("SELECT bhc_id, coalesce(n.name, o.name) AS name FROM (SELECT bhc_id, full_name AS name FROM o_index WHERE location = 'BOTH') n FULL JOIN (SELECT contact_id AS bhc_id, min(company) AS name FROM v_contacts WHERE contact_id <> '' GROUP BY 1) o USING (bhc_id)")
+@query("SELECT ref_id, coalesce(n.name, o.name) AS name FROM (SELECT ref_id, full_name AS name FROM o_index WHERE location = 'BOTH') n FULL JOIN (SELECT contact_id AS ref_id, min(company) AS name FROM v_contacts WHERE contact_id <> '' GROUP BY 1) o USING (ref_id)")
 def upsert_by_key(t):
     from ..sources import sinks
 
-    new = cadence.master_index(t.v_master).filter("location = 'BOTH'").select("bhc_id", C("full_name").alias("name"))
-    old = t.v_contacts.filter("contact_id <> ''").groupBy(C("contact_id").alias("bhc_id")).agg(F.min("company").alias("name"))
-    return sinks.upsert(new, old, "bhc_id")
+    new = cadence.master_index(t.v_master).filter("location = 'BOTH'").select("ref_id", C("full_name").alias("name"))
+    old = t.v_contacts.filter("contact_id <> ''").groupBy(C("contact_id").alias("ref_id")).agg(F.min("company").alias("name"))
+    return sinks.upsert(new, old, "ref_id")
 
 
 @query(
-    "SELECT x.bhc_id, CASE WHEN c.contact_id IS NULL OR p.bhc_contact_id IS NULL THEN 'key_changed' WHEN p.company IS NOT DISTINCT FROM x.new_value THEN 'written' ELSE 'readback_mismatch' END AS outcome FROM (SELECT bhc_id, CASE WHEN master_row % 2 = 0 THEN 'ALGERIA' ELSE '' END AS new_value FROM o_index) x LEFT JOIN (SELECT DISTINCT contact_id FROM v_contacts) c ON c.contact_id = x.bhc_id LEFT JOIN (SELECT bhc_contact_id, min(company) AS company FROM v_people GROUP BY 1) p ON p.bhc_contact_id = x.bhc_id"
+    "SELECT x.ref_id, CASE WHEN c.contact_id IS NULL OR p.crm_ref_id IS NULL THEN 'key_changed' WHEN p.company IS NOT DISTINCT FROM x.new_value THEN 'written' ELSE 'readback_mismatch' END AS outcome FROM (SELECT ref_id, CASE WHEN master_row % 2 = 0 THEN 'ALGERIA' ELSE '' END AS new_value FROM o_index) x LEFT JOIN (SELECT DISTINCT contact_id FROM v_contacts) c ON c.contact_id = x.ref_id LEFT JOIN (SELECT crm_ref_id, min(company) AS company FROM v_people GROUP BY 1) p ON p.crm_ref_id = x.ref_id"
 )
 def guarded_writes(t):
     from ..sources import sinks
 
-    plan = cadence.master_index(t.v_master).select("bhc_id", F.when(C("master_row") % 2 == 0, "ALGERIA").otherwise("").alias("new_value"))
-    after = t.v_people.groupBy(C("bhc_contact_id").alias("bhc_id")).agg(F.min("company").alias("company"))
-    return sinks.guarded(plan, t.v_contacts.select(C("contact_id").alias("bhc_id")).distinct(), after, "bhc_id", "company")
+    plan = cadence.master_index(t.v_master).select("ref_id", F.when(C("master_row") % 2 == 0, "ALGERIA").otherwise("").alias("new_value"))
+    after = t.v_people.groupBy(C("crm_ref_id").alias("ref_id")).agg(F.min("company").alias("company"))
+    return sinks.guarded(plan, t.v_contacts.select(C("contact_id").alias("ref_id")).distinct(), after, "ref_id", "company")

@@ -66,9 +66,9 @@ def triage(t: Tables, p: Params = PARAMS) -> Outputs:
     out = scoring.hard_exclude(t.v_people, p).filter("reason is not null")
     listed = scoring.exclusion_match(t.v_people, t.v_exclusions)
     gone = out.select("record_id").union(listed.select("record_id")).distinct()
-    free = t.v_people.filter("bhc_contact_id = ''").join(gone, "record_id", "left_anti")
+    free = t.v_people.filter("crm_ref_id = ''").join(gone, "record_id", "left_anti")
     scored = scoring.scored(free)
-    queue = merge.merge_queue(scored, t.v_queue, t.v_people.filter("bhc_contact_id <> ''").select("record_id"), gone, p.today)
+    queue = merge.merge_queue(scored, t.v_queue, t.v_people.filter("crm_ref_id <> ''").select("record_id"), gone, p.today)
     return {"excluded": out, "scored": scored, "queue": queue, "histogram": scoring.histogram(scored)}
 
 

@@ -21,7 +21,9 @@ def pick(key: str, values) -> str:
 
 
 def padded(prefix: str, key: str) -> str:
-    return f"'{prefix}' || lpad(CAST({key} AS STRING), 5, '0')"
+    """The id format: five digits, more for larger numbers."""
+    text = f"CAST({key} AS STRING)"
+    return f"'{prefix}' || lpad({text}, CAST(greatest(5, length({text})) AS INT), '0')"
 
 
 def every(n: int, at: int = 0) -> str:
@@ -46,7 +48,7 @@ _DAY = "CAST(o_orderdate AS DATE)"
 VIEWS: dict[str, str] = {
     "v_master": f"""
 SELECT CAST(c_custkey AS INT) + 2 AS master_row,
-    CASE WHEN {every(89)} THEN '' WHEN {every(97)} THEN {padded("BHC-", "c_custkey - 1")} ELSE {padded("BHC-", "c_custkey")} END AS bhc_id,
+    CASE WHEN {every(89)} THEN '' WHEN {every(97)} THEN {padded("REF-", "c_custkey - 1")} ELSE {padded("REF-", "c_custkey")} END AS ref_id,
     CASE WHEN {every(83)} THEN '' ELSE {_FIRST} || ' ' || {_LAST} END AS full_name,
     CASE WHEN {every(53)} THEN 'SUPERSEDED' WHEN c_custkey % 4 = 0 THEN 'GOOGLE' WHEN c_custkey % 4 = 1 THEN 'attio' ELSE 'BOTH' END AS location,
     CASE WHEN {every(41)} THEN '' WHEN {every(43)} THEN '2' WHEN {every(47)} THEN CAST(c_custkey + 3 AS STRING) || 'abc' WHEN {every(59)} THEN '-1'
@@ -56,7 +58,7 @@ SELECT CAST(c_custkey AS INT) + 2 AS master_row,
 FROM {{customer}}""",
     "v_contacts": f"""
 SELECT CAST(c_custkey AS INT) + 3 AS sheet_row,
-    CASE WHEN {every(71)} THEN '' WHEN c_custkey % 31 = 5 THEN {padded("BHC-", "c_custkey + 1")} ELSE {padded("BHC-", "c_custkey")} END AS contact_id,
+    CASE WHEN {every(71)} THEN '' WHEN c_custkey % 31 = 5 THEN {padded("REF-", "c_custkey + 1")} ELSE {padded("REF-", "c_custkey")} END AS contact_id,
     {_FIRST} AS first_name, {_LAST} AS last_name,
     CASE WHEN c_custkey % 6 = 0 THEN '' ELSE c_mktsegment || ' lead' END AS title, n_name AS company, {_EMAIL} AS primary_email,
     {pick("c_custkey % 7", ("Core", " strategic ", "PERIPHERAL", "VIP", "", "Peripheral", "core"))} AS relationship_tier
@@ -65,7 +67,7 @@ FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey""",
 SELECT {padded("rec-", "c_custkey")} AS record_id,
     CASE c_custkey % 5 WHEN 0 THEN {_FIRST} || ' ' || {_LAST} WHEN 1 THEN lower({_FIRST} || ' ' || {_LAST}) WHEN 2 THEN replace(replace(replace({_FIRST}, 'é', 'e'), 'ë', 'e'), 'ø', 'o') || ' ' || replace(replace({_LAST}, 'ö', 'o'), 'í', 'i')
         WHEN 3 THEN 'Dr. ' || {_FIRST} || ', ' || {_LAST} ELSE CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'Zed Other' END END AS name,
-    CASE WHEN {every(13)} THEN '' WHEN {every(17)} THEN {padded("BHC-", "c_custkey + 2")} ELSE {padded("BHC-", "c_custkey")} END AS bhc_contact_id,
+    CASE WHEN {every(13)} THEN '' WHEN {every(17)} THEN {padded("REF-", "c_custkey + 2")} ELSE {padded("REF-", "c_custkey")} END AS crm_ref_id,
     {_EMAIL} AS primary_email,
     {_EMAIL} || CASE WHEN c_custkey % 8 = 1 THEN ',second' || CAST(c_custkey AS STRING) || '@dune.example' WHEN c_custkey % 8 = 2 THEN ',alerts@mail.bolt.example' ELSE '' END AS all_emails,
     CASE WHEN c_custkey % 6 = 0 THEN 'Director' ELSE c_mktsegment || CASE WHEN c_custkey % 4 = 0 THEN ' Lead' ELSE ' lead' END END AS job_title,
@@ -99,8 +101,8 @@ SELECT 'ent-' || CAST(o_orderkey AS STRING) AS entry_id, {padded("rec-", "o_cust
     CASE WHEN o_orderkey % 3 = 0 THEN CAST('2001-07-20' AS DATE) WHEN o_orderkey % 3 = 1 THEN CAST('1999-01-05' AS DATE) ELSE NULL END AS manual_touch
 FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rn FROM {{orders}}) AS ranked WHERE rn = 1 AND o_custkey % 6 <> 5""",
     "v_tasks": f"""
-SELECT CAST(row_number() OVER (ORDER BY o_orderkey) AS INT) + 1 AS sheet_row, 'TASK-' || CAST(o_orderkey AS STRING) AS task_id, CAST({_DAY} AS STRING) AS created_at,
-    CASE WHEN o_orderkey % 9 = 0 THEN '' ELSE {padded("BHC-", "o_custkey")} END AS contact_id, 'Contact ' || CAST(o_custkey AS STRING) AS contact_name,
+SELECT CAST(o_orderkey AS BIGINT) + 1 AS sheet_row, 'TASK-' || CAST(o_orderkey AS STRING) AS task_id, CAST({_DAY} AS STRING) AS created_at,
+    CASE WHEN o_orderkey % 9 = 0 THEN '' ELSE {padded("REF-", "o_custkey")} END AS contact_id, 'Contact ' || CAST(o_custkey AS STRING) AS contact_name,
     {pick("o_orderkey % 4", ("Send the deck!", "send  the DECK", "Call back (soon)", "Café follow-up"))} AS description,
     CASE o_orderkey % 6 WHEN 0 THEN '' WHEN 1 THEN '37100' WHEN 2 THEN '37100.75' WHEN 3 THEN 'soon' ELSE CAST({_DAY} AS STRING) END AS due_date,
     CASE o_orderstatus WHEN 'O' THEN 'Open' WHEN 'F' THEN 'Done' ELSE 'open' END AS status,
@@ -110,8 +112,9 @@ FROM {{orders}}""",
     "v_activity": f"""
 SELECT CAST(event_id AS INT) + 2 AS sheet_row, 'ACT-' || CAST(event_id AS STRING) AS activity_id,
     CASE WHEN event_id % 50 = 7 THEN 'n/a' WHEN event_id % 50 = 8 THEN '' ELSE CAST(date_trunc('second', ts) AS STRING) END AS ts_text,
-    {padded("BHC-", "user_id")} AS contact_id, CASE WHEN event_id % 13 = 0 THEN 'Contact ' || CAST(user_id + 1 AS STRING) ELSE 'Contact ' || CAST(user_id AS STRING) END AS contact_name,
-    event_type AS channel, CASE WHEN event_type = 'click' THEN 'Outbound' ELSE 'Inbound' END AS direction, 'Subject ' || CAST(event_id % 40 AS STRING) AS subject,
+    {padded("REF-", "user_id")} AS contact_id, CASE WHEN event_id % 13 = 0 THEN 'Contact ' || CAST(user_id + 1 AS STRING) ELSE 'Contact ' || CAST(user_id AS STRING) END AS contact_name,
+    event_type AS channel, CASE WHEN event_type = 'click' THEN 'Outbound' ELSE 'Inbound' END AS direction,
+    CASE event_id % 40 WHEN 0 THEN 'Closed from queue today' WHEN 1 THEN 'Snoozed' WHEN 2 THEN 'Pipeline stage 3' ELSE 'Subject ' || CAST(event_id % 40 AS STRING) END AS subject,
     CASE WHEN event_type = 'signup' AND event_id % 3 = 0 THEN '[PENDING_CAPTURE] later' ELSE 'body ' || props END AS body,
     CASE WHEN event_type = 'signup' AND event_id % 3 = 1 THEN 'pending_capture thread:T-' || CAST(event_id % 500 AS STRING) || ' x' ELSE '' END AS note,
     {pick("event_id % 5", ("manual", "mark_sent bot", "Outreach tool", "daily beat", "heartbeat"))} AS source, value
@@ -137,21 +140,21 @@ SELECT CAST(conv_id AS STRING) AS thread_id, CAST(turn AS INT) AS pos, 'M' || CA
     CASE WHEN conv_id % 6 = 1 THEN 'Quick question' WHEN conv_id % 6 = 2 THEN 'Your invoice' ELSE 'Hello' END AS subject,
     CASE WHEN conv_id % 10 = 3 THEN 'my diagnosis ' WHEN conv_id % 10 = 4 THEN 'this is a test ' ELSE '' END || text AS body
 FROM {conversations}""",
-    "v_brain": """
-SELECT CAST(row_number() OVER (ORDER BY conv_id) AS INT) + 1 AS sheet_row, 'LATE-EDITION-' || CAST(1000 + conv_id % 3 AS STRING) AS run_id, CAST(conv_id AS STRING) AS thread_id,
-    CASE WHEN conv_id % 8 = 0 THEN '' ELSE 'BHC-' || lpad(CAST(conv_id % 60 AS STRING), 5, '0') END AS bhc_id, 'Contact ' || CAST(conv_id % 60 AS STRING) AS contact_name, 'Subject ' || CAST(conv_id AS STRING) AS subject,
+    "v_brain": f"""
+SELECT CAST(conv_id AS BIGINT) + 2 AS sheet_row, 'LATE-EDITION-' || CAST(1000 + conv_id % 3 AS STRING) AS run_id, CAST(conv_id AS STRING) AS thread_id,
+    CASE WHEN conv_id % 8 = 0 THEN '' ELSE {padded("REF-", "conv_id % 60")} END AS ref_id, 'Contact ' || CAST(conv_id % 60 AS STRING) AS contact_name, 'Subject ' || CAST(conv_id AS STRING) AS subject,
     CASE conv_id % 5 WHEN 0 THEN 'REPLY_NEEDED' WHEN 1 THEN 'ACTION_ITEM' WHEN 2 THEN 'FYI_ONLY' ELSE 'ARCHIVE' END AS action_required,
     CASE WHEN conv_id % 4 = 0 THEN 'TRUE' WHEN conv_id % 4 = 1 THEN ' true' ELSE '' END AS resolved,
     CASE WHEN conv_id % 2 = 0 THEN '' ELSE 'Note ' || repeat('n', 120) END AS brain_notes, 'Summary ' || CAST(conv_id AS STRING) || repeat(' and so on', 12) AS running_summary
-FROM (SELECT DISTINCT conv_id FROM {conversations}) AS threads""",
+FROM (SELECT DISTINCT conv_id FROM {{conversations}}) AS threads""",
     "v_proposals": """
-SELECT 'PROP-' || substr(record_id, 1, 8) AS proposal_id, record_id, bhc_contact_id AS bhc_id, name AS contact_name, 'evidence of ' || name || repeat(' more', 30) AS evidence,
+SELECT 'PROP-' || substr(record_id, 1, 8) AS proposal_id, record_id, crm_ref_id AS ref_id, name AS contact_name, 'evidence of ' || name || repeat(' more', 30) AS evidence,
     CASE WHEN length(last_subject) % 3 = 0 THEN 'PENDING' WHEN length(last_subject) % 3 = 1 THEN ' pending ' ELSE 'REJECTED' END AS status
 FROM {v_people} WHERE record_id LIKE '%3' OR record_id LIKE '%07'""",
     "v_conflicts": """
-SELECT bhc_contact_id AS bhc_id, name AS old_name, name || ' Jr' AS new_name, CASE WHEN record_id LIKE '%1' THEN 'RESOLVED_OLD' WHEN record_id LIKE '%2' THEN '' WHEN record_id LIKE '%3' THEN 'resolved_new' ELSE 'OTHER' END AS status
+SELECT crm_ref_id AS ref_id, name AS old_name, name || ' Jr' AS new_name, CASE WHEN record_id LIKE '%1' THEN 'RESOLVED_OLD' WHEN record_id LIKE '%2' THEN '' WHEN record_id LIKE '%3' THEN 'resolved_new' ELSE 'OTHER' END AS status
 FROM {v_people} WHERE record_id LIKE '%1' OR record_id LIKE '%2' OR record_id LIKE '%3' OR record_id LIKE '%14'
-UNION ALL SELECT bhc_contact_id, name, name || ' Jr', 'RESOLVED_NEW' FROM {v_people} WHERE record_id LIKE '%11'""",
+UNION ALL SELECT crm_ref_id, name, name || ' Jr', 'RESOLVED_NEW' FROM {v_people} WHERE record_id LIKE '%11'""",
     "v_exclusions": """
 SELECT record_id, '' AS email, 'manual' AS reason FROM {v_people} WHERE record_id LIKE '%5'
 UNION ALL SELECT '' AS record_id, upper(primary_email) AS email, 'address' AS reason FROM {v_people} WHERE record_id LIKE '%22' AND primary_email <> ''""",
@@ -163,7 +166,7 @@ SELECT record_id, CASE CAST(substr(record_id, 5) AS INT) % 7 WHEN 0 THEN '' WHEN
 FROM {v_people} WHERE record_id NOT LIKE '%8'
 UNION ALL SELECT 'gone-' || CAST(c_custkey AS STRING), 'pending', '', '', '50', '' FROM {customer} WHERE c_custkey % 30 = 1""",
     "v_recon": """
-SELECT CAST(row_number() OVER (ORDER BY task_id) AS INT) + 1 AS sheet_row, 'RECON-' || task_id AS recon_id, task_id || ', TASK-x' || CASE WHEN sheet_row % 2 = 0 THEN ',' || 'TASK-1' ELSE '' END AS source_task_ids,
+SELECT sheet_row, 'RECON-' || task_id AS recon_id, task_id || ', TASK-x' || CASE WHEN sheet_row % 2 = 0 THEN ',' || 'TASK-1' ELSE '' END AS source_task_ids,
     CASE WHEN sheet_row % 3 = 0 THEN 'STALE' ELSE 'STILL_OPEN' END AS verdict, CASE WHEN sheet_row % 4 = 0 THEN 'DONE' ELSE '' END AS status
 FROM {v_tasks}""",
     "v_segments": """
