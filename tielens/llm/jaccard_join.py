@@ -304,12 +304,15 @@ def _signatures(frequencies: DataFrame, classes: DataFrame, groups: int) -> Data
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(u, v): every node u of ``edges(u, v)`` but a component's smallest, with that smallest v. Stars in turn."""
+    """(u, v): every node u of ``edges(u, v)`` but a component's smallest, with that smallest v. Stars in turn.
+
+    Hot centres are keys of joins only, which Spark splits as it finds them.
+    """
     edges = landed(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges")
     while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("k")).withColumn("m", F.least("u", "m"))
-        large = grouped_join(both.filter("v > u"), least, ["u"], "k", max(2 * edges.count(), 1)).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
         before, edges = edges, landed(hung.filter("u <> v").distinct(), "edges")
@@ -320,7 +323,8 @@ def components(edges: DataFrame) -> DataFrame:
 def _stars(edges: DataFrame) -> bool:
     """Whether every u has one v, and no v is a u."""
     ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
-    return ends.groupBy("x").agg(F.sum("up").alias("ups"), F.max("down").alias("downs")).filter("ups > 1 or ups > 0 and downs > 0").isEmpty()
+    loose = ends.groupBy("x").agg(F.sum("up").alias("ups"), F.max("down").alias("downs")).agg(F.max(F.expr("ups > 1 or ups > 0 and downs > 0")).alias("loose"))
+    return not loose.first()["loose"]
 
 
 def linked(sets: list[np.ndarray], sides: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -474,15 +478,16 @@ def _joined(docs: DataFrame) -> DataFrame:
     links = landed(_links(own.unionByName(visit).withColumn("task", task).join(sets, "cls").select(*shown)), "links")
 
     # Then across blocks, where a cluster isn't one component.
+    stars = components(links)
     wide = members.filter("blocks > 1")
     if not wide.isEmpty():
-        roots = components(links).select(F.col("u").alias("cls"), F.col("v").alias("root"))
-        wide = wide.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls")).select("sc", "cls", "n", "root")
+        wide = wide.join(stars.select(F.col("u").alias("cls"), F.col("v").alias("root")), "cls", "left").withColumn("root", F.coalesce("root", "cls")).select("sc", "cls", "n", "root")
         loose = landed(wide.groupBy("sc").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sc"), "loose")
         if not loose.isEmpty():
             units = _wide(keyed_filter(wide, loose, ["sc"], "left_semi"), sigs, sets)
-            links = links.unionByName(landed(_links(units.join(sets, "cls").select(*shown)), "links"))
-    stars = components(links)
+            more = landed(_links(units.join(sets, "cls").select(*shown)), "links")
+            if not more.isEmpty():
+                stars = components(stars.unionByName(more))
 
     rooted = classes.join(stars.select(F.col("u").alias("cls"), F.col("v").alias("root")), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("many"))
