@@ -109,7 +109,7 @@ def test_completer_failures_are_rows(spark):
     rows = spark.createDataFrame([("r1", "p")], "id string, prompt string")
     assert complete(rows, "id", "prompt", stub).first().ok
     assert not complete(rows, "id", "prompt", failing).first().ok
-    assert retry_delay(0, 429) == 5.0 and retry_delay(2, 503) == 2.0 and retry_delay(0, 404) is None
+    assert retry_delay(1, 429) == 5.0 and retry_delay(2, 503) == 2.0 and retry_delay(1, 0) == 1.0 and retry_delay(1, 404) is None
 
 
 def test_queue_actions(spark):

@@ -51,5 +51,20 @@ def tier(text: Column) -> Column:
     return F.when(t == "core", "Core").when(t == "peripheral", "Peripheral").otherwise("Strategic")
 
 
+#: Planned kinds of touch.
+TOUCH_MODES = ("Social", "Context", "Activation")
+
+
+def touch_mode(text: Column) -> Column:
+    """One of the known modes, spelled so; else null."""
+    return F.when(text.isin(*TOUCH_MODES), text)
+
+
+def full_name(text: Column) -> tuple[Column, Column]:
+    """(first, last): up to the first space, and the rest."""
+    parts = F.split(F.trim(F.coalesce(text, F.lit(""))), " ", 2)
+    return F.get(parts, F.lit(0)), F.coalesce(F.get(parts, F.lit(1)), F.lit(""))
+
+
 def location(*parts: Column) -> Column:
     return F.concat_ws(", ", *(filled(F.trim(p)) for p in parts))

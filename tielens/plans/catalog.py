@@ -1081,3 +1081,5 @@ def guarded_writes(t):
     plan = cadence.master_index(t.v_master).select("ref_id", F.when(C("master_row") % 2 == 0, "ALGERIA").otherwise("").alias("new_value"))
     after = t.v_people.groupBy(C("crm_ref_id").alias("ref_id")).agg(F.min("company").alias("company"))
     return sinks.guarded(plan, t.v_contacts.select(C("contact_id").alias("ref_id")).distinct(), after, "ref_id", "company")
+
+from . import answers  # noqa: E402, F401  registers its queries here

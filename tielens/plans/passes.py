@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import audit, cadence, commands, flow, merge, planning, repairs, scoring, tasks, threads, writes
+from ..operators import audit, cadence, closing, commands, enrichment as answers, flow, merge, planning, repairs, scoring, tasks, threads, writes
 from ..params import PARAMS, Params
 from ..sources.views import Tables
+from .ports import Completer, answered, stub_answer
 
 Outputs = dict[str, DataFrame]
 
@@ -24,14 +25,26 @@ def housekeeping(t: Tables, p: Params = PARAMS) -> Outputs:
     return {"resolved": done, "survivors": left}
 
 
-def enrichment(t: Tables, p: Params = PARAMS) -> Outputs:
+def enrichment(t: Tables, p: Params = PARAMS, completer: Completer = stub_answer) -> Outputs:
+    """Noise and resolved threads, the model's answers guarded, where they go, and the result rows."""
     from .catalog import _messages
 
     msgs = _messages(t)
     who, tags = threads.participants(msgs, p), threads.noise(msgs)
     work = who.join(tags, "thread_id").filter("tag is null and not is_test and primary_email is not null")
     found = merge.resolve(work.select(F.col("primary_email").alias("email")).distinct(), t.v_contacts, t.v_people)
-    return {"noise": tags.filter("tag is not null"), "resolved": work.join(found.withColumnRenamed("email", "primary_email"), "primary_email")}
+    resolved = work.join(found.withColumnRenamed("email", "primary_email"), "primary_email")
+    asked = msgs.join(resolved.select("thread_id", F.col("ref_id").alias("contact_name")), "thread_id")
+    last = msgs.groupBy("thread_id").agg(F.max_by("direction", "pos").alias("direction"), F.max_by("subject", "pos").alias("subject"))
+    parsed = answers.guarded(answers.parse(answered(answers.prompt(asked), "thread_id", "prompt", completer).join(last, "thread_id")))
+    index = cadence.master_index(t.v_master)
+    drift = merge.check_drift(index, t.v_contacts, t.v_people).select("ref_id", "tags")
+    pointers = index.select("ref_id", "location", "google_row", "attio_record_id", F.col("full_name").alias("contact_name")).join(drift, "ref_id", "left")
+    rows = parsed.filter("error is null").join(resolved.select("thread_id", "ref_id", "primary_email", "secondaries"), "thread_id").join(pointers, "ref_id", "left")
+    goes = answers.targets(rows.withColumns({"rank": F.lit(0), "day": F.lit(p.today)}))
+    blank = {c: F.lit("") for c in answers.RESULT if c not in rows.columns}
+    stamped = rows.withColumns(blank).drop("write_targets").join(goes, "thread_id", "left").withColumns({"tag": F.lit(None).cast("string"), "position": F.lit(1)})
+    return {"noise": tags.filter("tag is not null"), "resolved": resolved, "failed": parsed.filter("error is not null").select("thread_id", "error"), "warnings": parsed.filter("warnings <> ''").select("thread_id", "warnings"), "targets": goes, "rows": answers.result_rows(stamped, p)}
 
 
 def reconciliation(t: Tables, p: Params = PARAMS) -> Outputs:
@@ -99,7 +112,13 @@ def command(t: Tables, p: Params = PARAMS, text: str = "PROCEED LATE-EDITION-100
     parsed = commands.parse(t.spark.createDataFrame([(0, text)], "command_id int, text string"))
     done = commands.apply(parsed, t.v_brain)
     rows = t.v_brain.join(done.filter("outcome = 'resolved'").select("sheet_row"), "sheet_row", "left_semi")
-    return {"outcomes": done, "activity": writes.activity_plan(rows, cadence.master_index(t.v_master), p)}
+    index = cadence.master_index(t.v_master)
+    claims = index.select("ref_id", "google_row", "attio_record_id")
+    staged = rows.join(claims, "ref_id", "left").withColumns({"direction": F.lit("Inbound"), "outcome": F.lit(""), "tasks": F.array().cast("array<struct<description string, due_date string, priority string>>"), "last_email_date": F.lit("")})
+    closed = closing.decided(staged, index, p)
+    now = f"{p.today}T00:00:00Z"
+    written = {"activity_rows": closing.activity_rows(closed, now), "contact_blocks": closing.contact_blocks(closed, p.today), "history": closing.history_rows(closed, now), "tasks": closing.task_rows(closed, now), "task_creations": closing.task_payloads(closed)}
+    return {"outcomes": done, "activity": writes.activity_plan(rows, index, p), "warnings": closed.filter("warnings <> ''").select("thread_id", "warnings"), **written}
 
 
 PASSES: dict[str, Callable[..., Outputs]] = {
@@ -114,6 +133,6 @@ def nightly(t: Tables, p: Params = PARAMS) -> dict[str, Outputs]:
     for name in NIGHTLY:
         try:
             out[name] = PASSES[name](t, p)
-        except ValueError as e:
+        except Exception as e:  # of any kind: planning reads schemas, files and counts
             out[name] = {"aborted": t.spark.createDataFrame([(name, str(e))], "pass string, reason string")}
     return out

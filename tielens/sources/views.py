@@ -32,8 +32,8 @@ def every(n: int, at: int = 0) -> str:
 
 def json_text(sql: str) -> str:
     """Braces within SQL literals spelled as characters: in a view's text they stand for tables."""
-    held = sql.replace("{v_people}", "\0")
-    return held.replace("{", "' || chr(123) || '").replace("}", "' || chr(125) || '").replace("\0", "{v_people}")
+    parts = re.split(r"(\{[a-z_]+\})", sql)
+    return "".join(p if i % 2 else p.replace("{", "' || chr(123) || '").replace("}", "' || chr(125) || '") for i, p in enumerate(parts))
 
 
 _FIRST, _LAST = pick("c_custkey % 12", FIRST), pick("CAST(floor(c_custkey / 12) AS INT) % 15", LAST)
@@ -146,6 +146,26 @@ SELECT CAST(conv_id AS BIGINT) + 2 AS sheet_row, 'LATE-EDITION-' || CAST(1000 +
     CASE conv_id % 5 WHEN 0 THEN 'REPLY_NEEDED' WHEN 1 THEN 'ACTION_ITEM' WHEN 2 THEN 'FYI_ONLY' ELSE 'ARCHIVE' END AS action_required,
     CASE WHEN conv_id % 4 = 0 THEN 'TRUE' WHEN conv_id % 4 = 1 THEN ' true' ELSE '' END AS resolved,
     CASE WHEN conv_id % 2 = 0 THEN '' ELSE 'Note ' || repeat('n', 120) END AS brain_notes, 'Summary ' || CAST(conv_id AS STRING) || repeat(' and so on', 12) AS running_summary
+FROM (SELECT DISTINCT conv_id FROM {{conversations}}) AS threads""",
+    "v_answers": json_text("""
+SELECT CAST(conv_id AS STRING) AS thread_id, CASE WHEN conv_id % 3 = 0 THEN 'Outbound' ELSE 'Inbound' END AS direction,
+    CASE WHEN conv_id % 23 = 5 THEN 'I cannot say' WHEN conv_id % 23 = 6 THEN '[1, 2]' ELSE CASE WHEN conv_id % 2 = 0 THEN ' ```json' || chr(10) ELSE '' END || '{"running_summary":"Summary ' || CAST(conv_id AS STRING) ||
+    CASE conv_id % 13 WHEN 4 THEN ' card 4111 1111 1111 1111 and A4111111111111111' WHEN 5 THEN ' ssn 123-45-6789' ELSE '' END || '","key_commitments":' || CASE WHEN conv_id % 11 = 3 THEN '{"ana":"call"}' ELSE '"call back"' END ||
+    ',"personal_details_flag":' || CASE conv_id % 17 WHEN 2 THEN '"yes"' WHEN 3 THEN 'null' WHEN 4 THEN 'false' ELSE 'true' END || ',"company_intel":"","pipeline_signals":"' || CASE WHEN conv_id % 29 = 1 THEN 'password: hunter2' ELSE 'warm' END || '","brain_notes":"note",' ||
+    '"action_required":"' || CASE conv_id % 5 WHEN 0 THEN 'REPLY_NEEDED' WHEN 1 THEN 'ACTION_ITEM' WHEN 2 THEN 'FYI_ONLY' WHEN 3 THEN 'REPLY_NEEDED' ELSE 'NO_ACTION' END || CASE WHEN conv_id % 31 = 8 THEN '!' ELSE '' END || '","outcome":"' || CASE conv_id % 4 WHEN 0 THEN 'Positive' WHEN 1 THEN 'No Response' ELSE 'Neutral' END ||
+    '","response_draft":"' || CASE WHEN conv_id % 5 IN (0, 3) THEN 'Thanks, talk soon' ELSE '' END || '","tasks":' || CASE conv_id % 7 WHEN 0 THEN '[]' WHEN 1 THEN '[{"description":"Send deck","due_date":"2001-09-05","priority":"High"},{"description":"Call","due_date":"37100","priority":""}]'
+    WHEN 2 THEN CASE WHEN conv_id % 2 = 0 THEN '"none"' ELSE '[]' END WHEN 3 THEN '[{"description":"x","due_date":5,"priority":"Low"},"call",{"due_date":""}]' ELSE '[{"description":"Follow up","due_date":"","priority":"Medium"}]' END || CASE WHEN conv_id % 19 = 7 THEN '' ELSE ',"ready_to_archive":false' END ||
+    ',"personal_notes_extract":"' || CASE WHEN conv_id % 6 = 1 THEN 'likes jazz' ELSE '' END || '","topics_of_interest_extract":"","conversation_trigger_extract":""}' || CASE WHEN conv_id % 2 = 0 THEN chr(10) || '```' ELSE '' END END AS answer
+FROM (SELECT DISTINCT conv_id FROM {conversations}) AS threads"""),
+    "v_judgements": json_text("""
+SELECT task_id, CASE WHEN sheet_row % 17 = 3 THEN 'no' ELSE '{"has_evidence":' || CASE sheet_row % 5 WHEN 0 THEN '"true"' WHEN 1 THEN 'false' ELSE 'true' END || ',"evidence_activity_id":"' || CASE WHEN sheet_row % 7 = 2 THEN '' ELSE 'ACT-1' END ||
+    '","evidence_quote":"done","confidence":"' || CASE sheet_row % 4 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' WHEN 2 THEN '' ELSE 'low' END || '","brain_reasoning":' || CASE WHEN sheet_row % 13 = 1 THEN '7' ELSE '"it says so"' END || '}' END AS answer
+FROM {v_tasks}"""),
+    "v_resolved": f"""
+SELECT CAST(conv_id AS STRING) AS thread_id, CAST(conv_id AS BIGINT) + 2 AS sheet_row, CASE WHEN conv_id % 8 = 0 THEN '' ELSE {padded("REF-", "1 + conv_id % 97")} END AS ref_id, 'Contact ' || CAST(conv_id % 97 AS STRING) AS contact_name,
+    'Subject ' || CAST(conv_id AS STRING) AS subject, CASE conv_id % 4 WHEN 0 THEN 'GOOGLE' WHEN 1 THEN 'ATTIO' ELSE 'BOTH' END AS location, CAST(CASE WHEN conv_id % 9 = 4 THEN NULL ELSE 4 + conv_id % 97 + CASE WHEN conv_id % 10 = 7 THEN 1 ELSE 0 END END AS INT) AS google_row,
+    CASE WHEN conv_id % 11 = 5 THEN '' ELSE {padded("rec-", "1 + conv_id % 97")} END AS attio_record_id, CASE conv_id % 12 WHEN 3 THEN 'google' WHEN 7 THEN 'attio' ELSE '' END AS tags,
+    CASE conv_id % 6 WHEN 0 THEN '2001-08-10T09:30:00Z' WHEN 1 THEN '37110' WHEN 2 THEN 'Friday' WHEN 3 THEN '' ELSE '2001-08-12' END AS last_email_date, CAST(conv_id % 3 AS INT) AS others
 FROM (SELECT DISTINCT conv_id FROM {{conversations}}) AS threads""",
     "v_proposals": """
 SELECT 'PROP-' || substr(record_id, 1, 8) AS proposal_id, record_id, crm_ref_id AS ref_id, name AS contact_name, 'evidence of ' || name || repeat(' more', 30) AS evidence,
