@@ -85,7 +85,7 @@ def _met_crm(master: DataFrame, people: DataFrame, contacts: DataFrame) -> DataF
 
 
 def crm_side(master: DataFrame, people: DataFrame, contacts: DataFrame) -> DataFrame:
-    """A2-A5 and A1; a record that isn't found ends its row's checks. A failed look-up (A4) can't occur in a join."""
+    """A2-A5 and A1; a record that isn't found ends its row's checks. See ``crm_failed`` for look-ups that fail."""
     rows, ok = _met_crm(master, people, contacts), F.col("ok").isNotNull()
     crm = F.col("crm_ref_id")
     return _exploded(
@@ -99,6 +99,12 @@ def crm_side(master: DataFrame, people: DataFrame, contacts: DataFrame) -> DataF
     )
 
 
+def crm_failed(master: DataFrame, lookups: DataFrame) -> DataFrame:
+    """A4: rows whose record couldn't be looked up, by ``lookups(attio_record_id, lookup, error)``; the other checks don't apply to them."""
+    rows = audit_rows(master).filter("attio_record_id <> ''").join(lookups, "attio_record_id")
+    return _exploded(rows, [_finding(F.col("lookup") == "failed", "A4", "a successful lookup", F.col("error"), "lookup failed after retries")])
+
+
 def identity_drift(master: DataFrame, people: DataFrame, contacts: DataFrame) -> DataFrame:
     rows = _met_crm(master, people, contacts).filter("ready")
     emails = cells.split_list(F.col("all_emails"))

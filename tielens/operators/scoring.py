@@ -170,3 +170,8 @@ def may_call(readable: Column, score: Column) -> Column:
 
 def clamped(score: Column, llm: Column) -> Column:
     return F.greatest(F.greatest(F.lit(0), score - CLAMP), F.least(F.least(F.lit(100), score + CLAMP), llm))
+
+
+def cross_check(total: Column, bridged: Column, unbridged: Column) -> Column:
+    """Of an enumeration and a server's own count: agrees, mismatch, or inconclusive where the server gave none."""
+    return F.when(bridged.isNull(), "inconclusive").when(total - bridged == unbridged, "agrees").otherwise("mismatch")

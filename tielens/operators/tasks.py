@@ -54,6 +54,42 @@ def supersede_targets(groups: DataFrame, queue: DataFrame) -> DataFrame:
     return met.select("cluster_key", "r.recon_id", "r.old_verdict")
 
 
+def reconciled(groups: DataFrame, candidates: DataFrame, answers: DataFrame, today: str) -> DataFrame:
+    """Verdicts of clusters from ``answers(cluster_key, has_evidence, evidence_activity_id, evidence_quote, confidence, brain_reasoning, error)``.
+
+    A cluster without ``candidates(cluster_key, activity_id, ts_text)`` needs no answer. Evidence must be one of them; an
+    invented id, like an answer that can't be read, gives an error and no verdict.
+    """
+    some = candidates.groupBy("cluster_key").agg(F.lit(True).alias("asked"))
+    named = candidates.groupBy("cluster_key", F.col("activity_id").alias("evidence_activity_id")).agg(F.min("ts_text").alias("at"))
+    rows = groups.select("cluster_key", "latest_due", "latest_due_date").join(some, "cluster_key", "left").join(answers, "cluster_key", "left").join(named, ["cluster_key", "evidence_activity_id"], "left")
+    asked, handled = F.coalesce("asked", F.lit(False)), F.coalesce(F.col("asked") & F.col("has_evidence"), F.lit(False))
+    error = F.when(asked & F.col("error").isNotNull(), F.col("error")).when(asked & F.col("has_evidence").isNull(), "no answer").when(handled & F.col("at").isNull(), F.concat(F.lit("evidence isn't a candidate: "), F.col("evidence_activity_id")))
+    stale = F.coalesce(F.datediff(F.lit(today).cast("date"), F.col("latest_due")) > STALE_DAYS, F.lit(False))
+    pick = lambda a, b, c: F.when(F.col("problem").isNotNull(), "").when(handled, a).when(stale, b).otherwise(c)
+    return rows.withColumn("problem", error).select(
+        "cluster_key",
+        F.when(F.col("problem").isNull(), pick(F.lit("LIKELY_HANDLED_EVIDENCE"), F.lit("LIKELY_STALE_NO_EVIDENCE"), F.lit("GENUINELY_OPEN"))).alias("verdict"),
+        pick(F.col("evidence_quote"), F.lit(""), F.lit("")).alias("evidence_quote"),
+        pick(F.col("evidence_activity_id"), F.lit(""), F.lit("")).alias("evidence_source"),
+        pick(F.left("at", F.lit(10)), F.col("latest_due_date"), F.lit("")).alias("proposed_completion_date"),
+        pick(F.when(F.col("confidence") == "", "medium").otherwise(F.col("confidence")), F.lit("low"), F.lit("")).alias("confidence"),
+        F.col("problem").alias("error"),
+    )
+
+
+#: A verdict is written again only if one of these changed.
+MATERIAL = ("verdict", "evidence_quote", "confidence", "proposed_completion_date")
+
+
+def material(old: str, new: str) -> Column:
+    """Whether two structs of the material columns differ."""
+    out = F.lit(False)
+    for c in MATERIAL:
+        out = out | ~F.col(f"{old}.{c}").eqNullSafe(F.col(f"{new}.{c}"))
+    return out
+
+
 # ---- placeholders ----
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import cadence, closing, enrichment, tasks, threads
+from ..operators import audit, cadence, closing, enrichment, scoring, tasks, threads
 from ..params import PARAMS as P
 from . import oracle as o
 from .catalog import _CACHE, C, _cache, _messages, query
@@ -165,6 +165,56 @@ def request_prompts(t):
     return enrichment.request_prompt(groups, seen)
 
 
+# ---- verdicts ----
+
+
+def _judged(t):
+    """Clusters, their candidates, and answers: those sure of themselves name a candidate, the others an id of their own."""
+    groups = tasks.clusters(t.v_tasks)
+    seen = t.v_activity.filter("channel = 'purchase'").select("contact_id", "activity_id", "ts_text").join(groups.select("cluster_key", "contact_id"), "contact_id").select("cluster_key", "activity_id", "ts_text")
+    said = enrichment.evidence(t.v_judgements).join(groups.select("cluster_key", F.get("task_ids", F.lit(0)).alias("task_id")), "task_id")
+    first = seen.groupBy("cluster_key").agg(F.min("activity_id").alias("first"))
+    said = said.join(first, "cluster_key", "left").withColumn("evidence_activity_id", F.when(C("confidence") == "high", C("first")).otherwise(C("evidence_activity_id")))
+    return tasks.reconciled(groups, seen, said.drop("task_id", "first"), P.today)
+
+
+_SAID = f"""SELECT k.cluster_key, k.latest_due, s.n > 0 AS asked, s.first, a.task_id IS NOT NULL AS told, a.error, a.has_evidence, a.quote, a.confidence, CASE WHEN a.confidence = 'high' THEN s.first ELSE a.id END AS id, s.n FROM o_clusters k
+LEFT JOIN (SELECT k.cluster_key, min(activity_id) AS first, count(*) AS n FROM o_clusters k JOIN v_activity v ON v.contact_id = k.contact_id AND v.channel = 'purchase' GROUP BY 1) s ON s.cluster_key = k.cluster_key
+LEFT JOIN (SELECT task_id, error, CASE WHEN error IS NULL THEN json_extract_string(j, '$.has_evidence') = 'true' END AS has_evidence, CASE WHEN error IS NULL THEN json_extract_string(j, '$.evidence_quote') END AS quote, CASE WHEN error IS NULL THEN json_extract_string(j, '$.confidence') END AS confidence,
+    CASE WHEN error IS NULL THEN json_extract_string(j, '$.evidence_activity_id') END AS id FROM (SELECT *, coalesce({_error('[' + ', '.join(_EVIDENCE_ISSUES) + ']')}, {_ACROSS}) AS error FROM ({_parsed('v_judgements')}))) a ON a.task_id = k.task_ids[1]"""
+o.RELATIONS["o_judged"] = f"""SELECT p.*, v.at FROM ({_SAID}) p LEFT JOIN (SELECT k.cluster_key, v.activity_id, min(v.ts_text) AS at FROM o_clusters k JOIN v_activity v ON v.contact_id = k.contact_id AND v.channel = 'purchase' GROUP BY 1, 2) v ON v.cluster_key = p.cluster_key AND v.activity_id = p.id"""
+_PROBLEM = "CASE WHEN asked AND error IS NOT NULL THEN error WHEN asked AND has_evidence IS NULL THEN 'no answer' WHEN asked AND has_evidence AND at IS NULL THEN 'evidence isn''t a candidate: ' || id END"
+_LATE = f"coalesce({o.TODAY} - latest_due > 7, false)"
+_PICK = lambda a, b, c: f"CASE WHEN problem IS NOT NULL THEN '' WHEN asked AND has_evidence THEN {a} WHEN {_LATE} THEN {b} ELSE {c} END"
+o.RELATIONS["o_reconciled"] = (
+    f"SELECT cluster_key, CASE WHEN problem IS NULL THEN {_PICK(chr(39) + 'LIKELY_HANDLED_EVIDENCE' + chr(39), chr(39) + 'LIKELY_STALE_NO_EVIDENCE' + chr(39), chr(39) + 'GENUINELY_OPEN' + chr(39))} END AS verdict, {_PICK('quote', chr(39) * 2, chr(39) * 2)} AS evidence_quote, {_PICK('id', chr(39) * 2, chr(39) * 2)} AS evidence_source, "
+    f"{_PICK('left(at, 10)', 'strftime(latest_due, ' + chr(39) + '%Y-%m-%d' + chr(39) + ')', chr(39) * 2)} AS proposed_completion_date, {_PICK('CASE WHEN confidence = ' + chr(39) * 2 + ' THEN ' + chr(39) + 'medium' + chr(39) + ' ELSE confidence END', chr(39) + 'low' + chr(39), chr(39) * 2)} AS confidence, problem AS error FROM (SELECT *, {_PROBLEM} AS problem FROM o_judged)"
+)
+
+
+@query("SELECT * FROM o_reconciled")
+def reconciled_verdicts(t):
+    return _judged(t)
+
+
+@query(
+    "SELECT cluster_key, recon_id, old_verdict <> coalesce(verdict, '') OR '' <> evidence_quote OR '' <> confidence OR '' <> proposed_completion_date AS material FROM (SELECT k.cluster_key, q.recon_id, q.verdict AS old_verdict, row_number() OVER (PARTITION BY k.cluster_key ORDER BY q.sheet_row) AS rn "
+    f"FROM o_clusters k, unnest(k.task_ids) AS u(task_id) JOIN (SELECT *, unnest({o.split_list('source_task_ids')}) AS tid FROM v_recon WHERE status = '') q ON q.tid = u.task_id) JOIN o_reconciled USING (cluster_key) WHERE rn = 1"
+)
+def material_changes(t):
+    blank = [F.lit("").alias(c) for c in tasks.MATERIAL[1:]]
+    held = tasks.supersede_targets(tasks.clusters(t.v_tasks), t.v_recon).select("cluster_key", "recon_id", F.struct(C("old_verdict").alias("verdict"), *blank).alias("old"))
+    new = _judged(t).select("cluster_key", F.struct(F.coalesce("verdict", F.lit("")).alias("verdict"), *tasks.MATERIAL[1:]).alias("new"))
+    return held.join(new, "cluster_key").select("cluster_key", "recon_id", tasks.material("old", "new").alias("material"))
+
+
+@query("SELECT crm_ref_id, total, CASE WHEN crm_ref_id = '' THEN 'inconclusive' WHEN total % 2 = 0 THEN 'agrees' ELSE 'mismatch' END AS state FROM (SELECT crm_ref_id, count(*) AS total FROM v_people GROUP BY 1)")
+def enumeration_states(t):
+    rows = t.v_people.groupBy("crm_ref_id").agg(F.count(F.lit(1)).alias("total"))
+    served = F.when(C("crm_ref_id") != "", C("total") - F.when(C("total") % 2 == 0, 1).otherwise(0))
+    return rows.select("crm_ref_id", "total", scoring.cross_check(C("total"), served, F.lit(1)).alias("state"))
+
+
 # ---- closing ----
 
 
@@ -259,7 +309,10 @@ def write_verdict(t):
 _LOOK = "CASE WHEN attio_record_id = '' THEN NULL WHEN master_row % 11 = 3 THEN 500 WHEN master_row % 13 = 5 THEN 404 WHEN master_row % 17 = 2 THEN NULL ELSE 200 END"
 
 
-@query(f"SELECT attio_record_id, CASE WHEN status IS NULL THEN 'failed' WHEN status = 404 THEN 'not_found' WHEN status >= 400 THEN 'failed' ELSE 'found' END AS lookup, CASE WHEN status IS NULL THEN 'no result' WHEN status >= 400 AND status <> 404 THEN 'server said 500' END AS error FROM (SELECT attio_record_id, {_LOOK} AS status FROM (SELECT attio_record_id, min(master_row) AS master_row FROM v_master WHERE attio_record_id <> '' GROUP BY 1))")
+o.RELATIONS["o_lookups"] = f"SELECT attio_record_id, CASE WHEN status IS NULL THEN 'failed' WHEN status = 404 THEN 'not_found' WHEN status >= 400 THEN 'failed' ELSE 'found' END AS lookup, CASE WHEN status IS NULL THEN 'no result' WHEN status >= 400 AND status <> 404 THEN 'server said 500' END AS error FROM (SELECT attio_record_id, {_LOOK} AS status FROM (SELECT attio_record_id, min(master_row) AS master_row FROM v_master WHERE attio_record_id <> '' GROUP BY 1))"
+
+
+@query("SELECT * FROM o_lookups")
 def failed_lookups(t):
     wanted = t.v_master.filter("attio_record_id <> ''").groupBy("attio_record_id").agg(F.min("master_row").alias("n"))
     status = F.when(C("n") % 11 == 3, 500).when(C("n") % 13 == 5, 404).when(C("n") % 17 == 2, F.lit(None).cast("int")).otherwise(200)
@@ -267,6 +320,11 @@ def failed_lookups(t):
     return closing.looked_up(wanted.select("attio_record_id"), answers, "attio_record_id").select("attio_record_id", "lookup", "error")
 
 
+@query(o.finding("o_audit a JOIN o_lookups l USING (attio_record_id)", "A4", "lookup = 'failed'", "'a successful lookup'", "error", "'lookup failed after retries'"))
+def audit_failed_lookups(t):
+    return audit.crm_failed(t.v_master, failed_lookups(t))
+
+
 @query("SELECT count(*) AS keys, count(*) FILTER (WHERE status IS NULL) AS silent FROM (SELECT attio_record_id, 1 AS status FROM v_master WHERE attio_record_id <> '' GROUP BY 1)")
 def paced_batches(t):
     wanted = t.v_master.filter("attio_record_id <> ''").select("attio_record_id").distinct()

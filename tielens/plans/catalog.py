@@ -920,14 +920,12 @@ def filtered_count(t):
     return crm.count_where(t.v_people, C("company") != "")
 
 
-@query(f"SELECT DISTINCT lower(c.primary_email) AS email, p.record_id FROM (SELECT DISTINCT lower(primary_email) AS primary_email FROM v_contacts WHERE primary_email <> '' AND primary_email NOT LIKE 'info%' AND primary_email NOT LIKE 'owner%' AND primary_email NOT LIKE '%noreply%' AND primary_email NOT LIKE 'no-reply%' AND primary_email NOT LIKE 'a1b2%') c JOIN (SELECT record_id, unnest({o.split_list('lower(all_emails)')}) AS email FROM v_people) p ON p.email = c.primary_email")
+@query(f"SELECT DISTINCT lower(c.primary_email) AS email, p.record_id FROM (SELECT DISTINCT lower(primary_email) AS primary_email FROM v_contacts WHERE primary_email <> '') c JOIN (SELECT record_id, unnest({o.split_list('lower(all_emails)')}) AS email FROM v_people) p ON p.email = c.primary_email")
 def lookup_by_email(t):
     from ..sources import crm
 
     c = F.lower("primary_email")
     rows = t.v_contacts.select(c.alias("email")).filter("email <> ''").distinct()
-    for pattern in ("info%", "owner%", "%noreply%", "no-reply%", "a1b2%"):
-        rows = rows.filter(~C("email").like(pattern))
     return crm.by_email(rows, t.v_people, cells.split_list(F.lower("all_emails")))
 
 
