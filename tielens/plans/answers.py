@@ -182,13 +182,13 @@ _SAID = f"""SELECT k.cluster_key, k.latest_due, s.n > 0 AS asked, s.first, a.tas
 LEFT JOIN (SELECT k.cluster_key, min(activity_id) AS first, count(*) AS n FROM o_clusters k JOIN v_activity v ON v.contact_id = k.contact_id AND v.channel = 'purchase' GROUP BY 1) s ON s.cluster_key = k.cluster_key
 LEFT JOIN (SELECT task_id, error, CASE WHEN error IS NULL THEN json_extract_string(j, '$.has_evidence') = 'true' END AS has_evidence, CASE WHEN error IS NULL THEN json_extract_string(j, '$.evidence_quote') END AS quote, CASE WHEN error IS NULL THEN json_extract_string(j, '$.confidence') END AS confidence,
     CASE WHEN error IS NULL THEN json_extract_string(j, '$.evidence_activity_id') END AS id FROM (SELECT *, coalesce({_error('[' + ', '.join(_EVIDENCE_ISSUES) + ']')}, {_ACROSS}) AS error FROM ({_parsed('v_judgements')}))) a ON a.task_id = k.task_ids[1]"""
-o.RELATIONS["o_judged"] = f"""SELECT p.*, v.at FROM ({_SAID}) p LEFT JOIN (SELECT k.cluster_key, v.activity_id, min(v.ts_text) AS at FROM o_clusters k JOIN v_activity v ON v.contact_id = k.contact_id AND v.channel = 'purchase' GROUP BY 1, 2) v ON v.cluster_key = p.cluster_key AND v.activity_id = p.id"""
-_PROBLEM = "CASE WHEN asked AND error IS NOT NULL THEN error WHEN asked AND has_evidence IS NULL THEN 'no answer' WHEN asked AND has_evidence AND at IS NULL THEN 'evidence isn''t a candidate: ' || id END"
+o.RELATIONS["o_judged"] = f"""SELECT p.*, v.seen_at FROM ({_SAID}) p LEFT JOIN (SELECT k.cluster_key, v.activity_id, min(v.ts_text) AS seen_at FROM o_clusters k JOIN v_activity v ON v.contact_id = k.contact_id AND v.channel = 'purchase' GROUP BY 1, 2) v ON v.cluster_key = p.cluster_key AND v.activity_id = p.id"""
+_PROBLEM = "CASE WHEN asked AND error IS NOT NULL THEN error WHEN asked AND has_evidence IS NULL THEN 'no answer' WHEN asked AND has_evidence AND seen_at IS NULL THEN 'evidence isn''t a candidate: ' || id END"
 _LATE = f"coalesce({o.TODAY} - latest_due > 7, false)"
 _PICK = lambda a, b, c: f"CASE WHEN problem IS NOT NULL THEN '' WHEN asked AND has_evidence THEN {a} WHEN {_LATE} THEN {b} ELSE {c} END"
 o.RELATIONS["o_reconciled"] = (
     f"SELECT cluster_key, CASE WHEN problem IS NULL THEN {_PICK(chr(39) + 'LIKELY_HANDLED_EVIDENCE' + chr(39), chr(39) + 'LIKELY_STALE_NO_EVIDENCE' + chr(39), chr(39) + 'GENUINELY_OPEN' + chr(39))} END AS verdict, {_PICK('quote', chr(39) * 2, chr(39) * 2)} AS evidence_quote, {_PICK('id', chr(39) * 2, chr(39) * 2)} AS evidence_source, "
-    f"{_PICK('left(at, 10)', 'strftime(latest_due, ' + chr(39) + '%Y-%m-%d' + chr(39) + ')', chr(39) * 2)} AS proposed_completion_date, {_PICK('CASE WHEN confidence = ' + chr(39) * 2 + ' THEN ' + chr(39) + 'medium' + chr(39) + ' ELSE confidence END', chr(39) + 'low' + chr(39), chr(39) * 2)} AS confidence, problem AS error FROM (SELECT *, {_PROBLEM} AS problem FROM o_judged)"
+    f"{_PICK('substr(seen_at, 1, 10)', 'strftime(latest_due, ' + chr(39) + '%Y-%m-%d' + chr(39) + ')', chr(39) * 2)} AS proposed_completion_date, {_PICK('CASE WHEN confidence = ' + chr(39) * 2 + ' THEN ' + chr(39) + 'medium' + chr(39) + ' ELSE confidence END', chr(39) + 'low' + chr(39), chr(39) * 2)} AS confidence, problem AS error FROM (SELECT *, {_PROBLEM} AS problem FROM o_judged)"
 )
 
 
