@@ -455,10 +455,11 @@ def test_one_of_each_group_stays_by_id_and_text(spark):
     assert sorted((str(r.doc_id), str(r.text), r.key, r.hash) for r in left.collect()) == sorted((str(d), str(t), 1, 2) for d, t in [(3, one + " more"), (5, two), (None, None), (9, "x")])
 
 
-@pytest.mark.parametrize("own", [8, 12, 30])
-def test_template_clusters(spark, monkeypatch, own):
+@pytest.mark.parametrize(("own", "few"), [(8, 16), (12, 1), (30, 1)])
+def test_template_clusters(spark, monkeypatch, own, few):
     """Texts of a common template and words of their own: beside the border on either side, in clusters of many blocks."""
     monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+    monkeypatch.setattr(jaccard_join, "FEW_BLOCKS", few)
     rng = random.Random(own)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
     template = [word() for _ in range(64)]

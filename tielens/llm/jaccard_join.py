@@ -43,6 +43,8 @@ LOCALLY_FREQUENT = 256
 FREQUENT, BEHIND = 65535, 65536
 #: Sets, and tokens of sets, that are compared with each other in one go.
 BLOCK, BLOCK_TOKENS = 256, 400_000
+#: Blocks of tight classes up to which all of a cluster meets them.
+FEW_BLOCKS = 16
 _TIMES = np.random.default_rng(5).integers(1, 2**63, WORDS + 1, dtype=np.uint64) | np.uint64(1)
 _HALF = np.uint64(1 << 63)
 _CUT = np.uint64(16)
@@ -304,15 +306,12 @@ def _signatures(frequencies: DataFrame, classes: DataFrame, groups: int) -> Data
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(u, v): every node u of ``edges(u, v)`` but a component's smallest, with that smallest v. Stars in turn.
-
-    Hot centres are keys of joins only, which Spark splits as it finds them.
-    """
+    """(u, v): every node u of ``edges(u, v)`` but a component's smallest, with that smallest v. Stars in turn."""
     edges = landed(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges")
     while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("k")).withColumn("m", F.least("u", "m"))
+        large = grouped_join(both.filter("v > u"), least, ["u"], "k", max(2 * edges.count(), 1)).select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
         before, edges = edges, landed(hung.filter("u <> v").distinct(), "edges")
@@ -396,31 +395,32 @@ def _wide(members: DataFrame, sigs: DataFrame, sets: DataFrame) -> DataFrame:
     """Units of clusters that aren't one component yet; ``members(sc, cls, n, root)``.
 
     m tokens of a class are shared with another class of the cluster; it can link with sets of up to ``most`` tokens. A
-    class is tight if that is its own size at least; of two linked classes one is.
+    class is tight if that is its own size at least; of two linked classes one is. Where a cluster has few blocks of tight
+    classes all of it meets these; where it has many, each signature's classes meet its tight ones.
     """
     owned = members.select("sc", "cls").join(sets, "cls").select("sc", "cls", F.explode("tokens").alias("token"))
     own = owned.groupBy("sc", "token").agg(F.min("cls").alias("cls"), F.max("cls").alias("last")).filter("cls = last").groupBy("cls").agg(F.count(F.lit(1)).alias("own"))
     members = members.join(own, "cls", "left").withColumn("most", F.floor((F.col("n") - F.coalesce("own", F.lit(0))) * (NUM + DEN) / NUM) - F.col("n"))
     members = landed(members.withColumn("tight", F.col("most") >= F.col("n")).select("sc", "cls", "n", "root", "most", "tight"), "wide")
+    large = landed(members.groupBy("sc").agg(F.count_if("tight").alias("t")).filter(F.col("t") > FEW_BLOCKS * BLOCK).select("sc"), "large")
+    rows = keyed_filter(members, large, ["sc"], "left_anti").select("sc", "cls", "n", "tight")
+    if not large.isEmpty():
+        rows = rows.unionByName(_by_signature(keyed_filter(members, large, ["sc"], "left_semi"), sigs))
+    rows = landed(rows, "meet")
+    return _units(rows, 1 + (rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // BLOCK_TOKENS)
 
-    # By signature: those with several roots and a tight class; classes that fit none of its tight ones stay out.
+
+def _by_signature(members: DataFrame, sigs: DataFrame) -> DataFrame:
+    """(sc, cls, n, tight) with a signature for ``sc``: of those with several roots and a tight class; classes that fit
+    none of its tight ones stay out, and signatures of the same classes count once."""
     signed = sigs.join(members, "cls")
     stats = [F.count(F.lit(1)).alias("k"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.when(F.col("tight"), F.col("n"))).alias("small"), F.max(F.when(F.col("tight"), F.col("most"))).alias("large")]
     groups = signed.groupBy("sig").agg(*stats).filter("lo <> hi and small is not null")
     fit = grouped_join(signed, groups, ["sig"], "k", max(sigs.count(), 1)).filter("k is not null and (tight or small <= most and n <= large)")
     fit = landed(fit.select("sig", "sc", "cls", "n", "tight"), "fit")
-    same = fit.groupBy("sig", "sc").agg(F.count(F.lit(1)).alias("k"), F.count_if("tight").alias("t"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"))
-    once = same.groupBy("sc", "k", "t", "x", "y").agg(F.min("sig").alias("sig")).filter("k > 1 and t > 0")  # signatures of the same classes count once
-    once = landed(once, "once")
-    work = F.sum(F.col("k") * F.ceil(F.col("t") / BLOCK))
-    by_sig = once.groupBy("sc").agg(work.alias("by_sig"))
-    by_all = members.groupBy("sc").agg(F.count(F.lit(1)).alias("k"), F.count_if("tight").alias("t")).filter("t > 0").groupBy("sc").agg(work.alias("by_all"))
-    whole = landed(by_all.join(by_sig, "sc").filter("by_all <= by_sig").select("sc"), "whole")
-    all_of = keyed_filter(members, whole, ["sc"], "left_semi").select("sc", "cls", "n", "tight")
-    parts = keyed_filter(once.select("sig", "sc", "k"), whole, ["sc"], "left_anti").select("sig", F.col("k").alias("size"))
-    some_of = grouped_join(fit, parts, ["sig"], "size", max(fit.count(), 1)).filter("size is not null").select(F.col("sig").alias("sc"), "cls", "n", "tight")
-    rows = landed(all_of.unionByName(some_of), "meet")
-    return _units(rows, 1 + (rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // BLOCK_TOKENS)
+    same = fit.groupBy("sig", "sc").agg(F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"))
+    once = same.filter("k > 1").groupBy("sc", "k", "x", "y").agg(F.min("sig").alias("sig")).select("sig", "k")
+    return grouped_join(fit, once, ["sig"], "k", max(fit.count(), 1)).filter("k is not null").select(F.col("sig").alias("sc"), "cls", "n", "tight")
 
 
 def _joined(docs: DataFrame) -> DataFrame:
