@@ -38,6 +38,8 @@ from .common import grouped_join, keyed_filter, lean, mix, runs, unused, word_ha
 WORDS, NUM, DEN = 5, 75, 100
 #: Document frequency up to which a token is rare; sizes of a set for each group of frequent tokens.
 RARE, PER_GROUP = 64, 16
+#: Tokens that a task sorts at a time, about.
+FLUSH = 1_000_000
 #: Classes of a task from which it declares a token frequent.
 LOCALLY_FREQUENT = 256
 FREQUENT, BEHIND = 65535, 65536
@@ -193,7 +195,7 @@ def _postings(docs: DataFrame, buckets: int, groups: int) -> DataFrame:
                 owners.append(np.full(len(s), len(classes), np.int32))
                 classes.append(c)
                 size += len(s)
-                if size > 1_500_000:
+                if size > FLUSH:
                     yield flush(tokens, owners, classes)
                     tokens, owners, classes, seen, size = [], [], [], set(), 0
         if size:
@@ -429,7 +431,7 @@ def _joined(docs: DataFrame) -> DataFrame:
     total, tokens = digest.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     classes = digest.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("low").alias("low"), F.count(F.lit(1)).alias("size"))
     classes = landed(classes, "classes")
-    buckets = 1 << max(5, (tokens // 2_000_000).bit_length())
+    buckets = 1 << max(5, (tokens // FLUSH).bit_length())
     groups = 1 << max(5, (total // 12_000).bit_length())
     shared = _frequencies(_postings(docs.select("doc_id", "text"), buckets, groups), groups)
     first = landed(_signatures(shared, classes.filter("n > 1"), groups), "signatures")
