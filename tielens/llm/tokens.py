@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Pieces that a worker's table holds before it starts anew (bounds memory, changes no result).
-MOST_PIECES = 1_500_000
+MOST_PIECES = 600_000
 SEPARATOR, SPACE, WHITE, LETTER, DIGIT, SIGN, UNKNOWN = range(7)
 _CLASS = np.full(256, UNKNOWN, np.uint8)
 _CLASS[33:127] = SIGN
@@ -125,7 +125,7 @@ class Encoder:
         self.shift, self.slots = np.uint64(64 - bits), np.full(1 << bits, -1, np.int32)
         self.names = [np.empty(room, np.uint64) for _ in range(3)]
         self.begin, self.size = np.empty(room, np.int32), np.empty(room, np.int32)
-        self.flat = np.empty(1 << 16, np.uint32)
+        self.flat = np.empty(1 << 16, np.uint16 if len(self.opens) <= 1 << 16 else np.uint32)
         self.long: dict[bytes, int] = {}
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
@@ -151,7 +151,7 @@ class Encoder:
         starts, ends, whole = pieces(buf, kind)
         pick = self._pick(data, starts, ends, whole)
         lens = self.size[pick]
-        ids = self.flat[spread(self.begin[pick].astype(np.int64), lens)]
+        ids = self.flat[spread(self.begin[pick].astype(np.int64), lens)].astype(np.uint32)
         total = np.concatenate(([0], np.cumsum(lens, dtype=np.int64)))
         edge = np.searchsorted(starts, np.append(begins, len(buf)))
         return ids, np.diff(total[edge])
