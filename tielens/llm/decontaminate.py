@@ -151,8 +151,8 @@ class Index:
             w = min(width, len(hits))
             good = np.flatnonzero(total[w:] - total[:-w] >= least) if w else ()
             if len(good):
-                np.add.at(keep, good, 1)
-                np.add.at(keep, good + w, -1)
+                keep[good] += 1
+                keep[good + w] -= 1
         inside = np.cumsum(keep[:-1]) > 0
         edges = np.flatnonzero(np.diff(np.concatenate(([0], inside.view(np.int8), [0]))))
         return edges.reshape(-1, 2)
@@ -164,37 +164,34 @@ class Index:
         where[where == len(self.key)] = 0
         at = np.flatnonzero(self.key[where] == g)
         lo, n = self.first[where[at]], self.first[where[at] + 1] - self.first[where[at]]
+        total = int(n.sum())
+        if total < self.bound.min():
+            return
+        if total <= MOST_PAIRS:
+            held = np.bincount(self.of[spread(lo, n)], minlength=len(self.items))
+        else:
+            uses = np.bincount(where[at], minlength=len(self.key))
+            held = np.bincount(self.of, np.repeat(uses, np.diff(self.first)), len(self.items)).astype(np.int64)
+        items = np.flatnonzero(held >= self.bound)  # the others can't reach their bounds in any band
+        if not len(items):
+            return
         step = self.k + 1
         lowest, highest = (first - self.m) // step - 1, last // step
         cells = highest - lowest + 1
-        total = int(n.sum())
-        if total <= MOST_PAIRS and (total < 1000 or int(cells.sum()) <= MOST_PAIRS):
-            groups = [(0, len(self.items))]
-        else:  # some items at a time: postings of a q-gram are in the order of items
-            held = np.bincount(self.of, np.bincount(where[at], minlength=len(self.key))[np.repeat(np.arange(len(self.key)), np.diff(self.first))], len(self.items))
-            number = np.cumsum(np.maximum(held, cells)) // MOST_PAIRS
-            edge = np.flatnonzero(np.diff(number, prepend=-1, append=np.inf))
-            groups = list(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True))
-        for x, y in groups:
-            if len(groups) == 1:
-                a, b = lo, lo + n
-                items = np.unique(self.of[spread(lo, n)])
-            else:
-                own = np.flatnonzero((self.of >= x) & (self.of < y))
-                a, b = np.searchsorted(own, lo), np.searchsorted(own, lo + n)
-                items = np.arange(x, y)
+        chosen = np.zeros(len(self.items), bool)
+        number = np.cumsum(np.maximum(held, cells)[items]) // MOST_PAIRS  # some items at a time
+        for items in np.split(items, np.flatnonzero(np.diff(number)) + 1):
+            chosen[:] = False
+            chosen[items] = True
             base = np.zeros(len(self.items), np.int64)
             base[items] = np.cumsum(cells[items]) - cells[items]
             shared = np.zeros(int(cells[items].sum()), np.int64)
-            ends = np.cumsum(b - a)
-            for i, j in _runs(ends, MOST_PAIRS):
-                size = b[i:j] - a[i:j]
-                pair = spread(a[i:j], size)
-                if len(groups) > 1:
-                    pair = own[pair]
+            for i, j in _runs(np.cumsum(n), MOST_PAIRS):
+                pair = spread(lo[i:j], n[i:j])
+                keep = chosen[self.of[pair]]
+                pair, place = pair[keep], np.repeat(at[i:j], n[i:j])[keep]
                 item = self.of[pair]
-                diagonal = first + np.repeat(at[i:j], size) - self.at[pair]
-                shared += np.bincount(base[item] + diagonal // step[item] - lowest[item], minlength=len(shared))
+                shared += np.bincount(base[item] + (first + place - self.at[pair]) // step[item] - lowest[item], minlength=len(shared))
             # a run of diagonals that differ by at most k lies in band b or in the overlap of b - 1 and b
             both = shared + np.append(shared[1:], 0)
             item = np.repeat(items, cells[items])
@@ -206,6 +203,8 @@ class Index:
         """Items found in a normalised text between q-gram positions: item to (edits, end, shared q-grams)."""
         found: dict[int, tuple[int, int, int]] = {}
         for item, band, shared in self.bands(text, first, last):
+            if not len(item):
+                continue
             most = {}
             for j, n in zip(item.tolist(), shared.tolist(), strict=True):
                 most[j] = max(most.get(j, 0), n)
