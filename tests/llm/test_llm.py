@@ -327,6 +327,21 @@ def test_scores_are_of_the_whole_trie(spark, docs, monkeypatch, common):
     assert got == {d: pytest.approx(model.log10(ppm.symbols([(t or "").encode()])[0]).sum(), rel=1e-6) for d, t in rows}
 
 
+def test_words_of_all_runs_count(spark):
+    """A task that lets go of its counts again and again loses no run's words."""
+    rng = np.random.default_rng(9)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz    ", np.uint8)
+    rows = [(i, rng.choice(letters, 360_000).tobytes().decode() * 3) for i in range(7) if zlib.crc32(str(i).encode()) % 5 != 1] + [(100, "the end")]
+    c = collections.Counter(w for _, t in rows for w in t.split())
+    n, v = sum(c.values()) + len(rows), len(c) + 1
+    point = lambda k: np.log10((k + 0.5) / (n + 0.5 * (v + 1)))
+    got = {r.doc_id: r for r in ppm.score(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    assert {r.train_tokens for r in got.values()} == {n}
+    for d, t in rows:
+        assert got[d].n_known == got[d].n_tokens == len(t.split()) + 1
+        assert got[d].base_score == pytest.approx(sum(point(c[w]) for w in t.split()) + point(len(rows)), rel=1e-9)
+
+
 # ---- 7 exact dedup ----
 
 

@@ -256,10 +256,9 @@ def _counted(docs: DataFrame, shards: int, order: int) -> DataFrame:
                     parts.append(np.unique(keys, return_counts=True))
                     if len(parts) > 4:
                         parts[:] = [_sum_by_key(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))]
-                        if len(parts[0][0]) > 1_500_000:
-                            yield from emit(held)
-                            held = ([], [])
-                            break
+                if any(len(parts[0][0]) > 1_500_000 for parts in held):  # when both hold this run
+                    yield from emit(held)
+                    held = ([], [])
         yield from emit(held)
 
     return docs.mapInArrow(lean(run), "kind int, shard int, blob binary")
