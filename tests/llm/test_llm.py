@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import struct
@@ -11,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tielens.llm import decontaminate, html_text, jaccard_join, packing, ppm, quality, quotient_dedup, token_counts, token_files, tokens, url_filter
+from tielens.llm import common, decontaminate, html_text, jaccard_join, packing, ppm, quality, quotient_dedup, token_counts, token_files, tokens, url_filter
 from tielens.llm import queries as q
 
 SF = "/root/testdata/sf0.001"
@@ -342,6 +343,28 @@ def test_words_of_all_runs_count(spark):
         assert got[d].base_score == pytest.approx(sum(point(c[w]) for w in t.split()) + point(len(rows)), rel=1e-9)
 
 
+def test_long_words_are_told_apart(spark):
+    """Thue-Morse words, which collide in any polynomial hash modulo 2**64."""
+    a = "a"
+    while len(a) < 2048:
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    for n in (1024, 2048):
+        (h, _), (g, _) = common.word_hashes([f"{a[:n]} x {b[:n]}".encode()]), common.word_hashes([a[:n].upper().encode()])
+        assert len(set(h.tolist())) == 3 and g[0] == h[0]
+    got = {r.doc_id: r for r in ppm.score(spark.createDataFrame([(0, a), (3, b)], "doc_id long, text string")).collect()}
+    assert (got[3].held_out, got[3].n_known, got[3].train_tokens) == (True, 1, 2)
+
+
+def test_base_score_of_one_frequent_word(spark):
+    """The sum of many small terms, as exact as they are."""
+    times = 400_000
+    got = ppm.score(spark.createDataFrame([(0, "the " * times)], "doc_id long, text string")).first()
+    norm = math.log10(times + 1 + 0.5 * 3)
+    want = math.fsum([math.log10(times + 0.5) - norm] * times + [math.log10(1.5) - norm])
+    assert got.base_score == pytest.approx(want, rel=1e-11)
+
+
 # ---- 7 exact dedup ----
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 import inspect
 
 import numpy as np
@@ -121,6 +122,8 @@ _rng = np.random.default_rng(20240601)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
+#: Bytes of the longest word that the polynomial hashes; from some hundreds on, patterns such as Thue-Morse's collide modulo 2**64.
+_LONG = 128
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -162,7 +165,10 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     head = np.where(starts > 0, total[starts - 1], np.uint64(0))
     h = (total[ends - 1] - head) * down[starts]
     counts = np.diff(np.searchsorted(starts, np.concatenate(([0], ends_of))))
-    return mix(h ^ (ends - starts).astype(np.uint64)), counts
+    h = mix(h ^ (ends - starts).astype(np.uint64))
+    for i in np.flatnonzero(ends - starts > _LONG):
+        h[i] = int.from_bytes(hashlib.blake2b(buf[starts[i] : ends[i]], digest_size=8).digest(), "little")
+    return h, counts
 
 
 def runs(column, most: int = 1 << 20):

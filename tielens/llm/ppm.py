@@ -344,7 +344,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most:
     common = words.select("blob").mapInArrow(lean(frequent), "key long, c long").toArrow()  # at most COMMON words
     key, c = common["key"].to_numpy().view(np.uint64), common["c"].to_numpy()
     at = np.argsort(key)
-    known_words = spark.sparkContext.broadcast((key[at], np.log10(c[at] + 0.5)))
+    known_words = spark.sparkContext.broadcast((key[at], np.log10(c[at] + 0.5) - norm))  # word by word, as long sums of the two parts cancel
     end_value = math.log10(ends + 0.5) - norm
 
     def run(batches):
@@ -420,7 +420,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most:
             else:
                 at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
                 hit = keys[at] == h if len(keys) else np.zeros(len(h), bool)
-                value = np.where(hit, np.log10(c[at] + 0.5), math.log10(0.5)) if len(keys) else np.full(len(h), math.log10(0.5))
+                value = (np.where(hit, np.log10(c[at] + 0.5), math.log10(0.5)) if len(keys) else np.full(len(h), math.log10(0.5))) - norm
             n = int(owner.max()) + 1
             value, hit = (np.bincount(owner, np.repeat(x, counts), n) for x in (value, hit))
             own = np.flatnonzero(np.bincount(owner, minlength=n))
@@ -439,6 +439,6 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most:
         "n_tokens",
         (F.col("known") + F.lit(int(ends > 0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") - (F.col("n_tokens") - 1) * F.lit(norm) + F.lit(end_value)).alias("base_score"),
+        (F.col("base") + F.lit(end_value)).alias("base_score"),
         "score",
     )
